@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaploom.llm import components, survivors
+from snaploom.llm import components, encoding, survivors
 from snaploom.storage import table
 
 
@@ -20,5 +20,9 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.audit_groups(table(spark, sf_dir, "dedup_audit"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_survivors": p4_survivors, "p7_found": p7_found}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.token_ids(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p4_found": p4_found, "p4_survivors": p4_survivors, "p7_found": p7_found, "p8_ids": p8_ids}
 SQL: dict[str, str] = {}
