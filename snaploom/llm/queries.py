@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaploom.llm import components, encoding, survivors
+from snaploom.llm import canonical, components, encoding, same_address, survivors
 from snaploom.storage import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical.typed_values(table(spark, sf_dir, "permit_records"), table(spark, sf_dir, "jurisdictions"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return same_address.same_location(table(spark, sf_dir, "address_records"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.choices(table(spark, sf_dir, "ledger_rows"))
 
@@ -24,5 +32,5 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.token_ids(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_survivors": p4_survivors, "p7_found": p7_found, "p8_ids": p8_ids}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p7_found": p7_found, "p8_ids": p8_ids}
 SQL: dict[str, str] = {}
