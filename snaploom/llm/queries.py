@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaploom.llm import canonical, components, encoding, same_address, survivors
+from snaploom.llm import canonical, components, encoding, repeats, same_address, survivors
 from snaploom.storage import table
 
 
@@ -24,6 +24,10 @@ def p4_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.survivors(table(spark, sf_dir, "ledger_rows"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.found_repeats(table(spark, sf_dir, "permit_records"), table(spark, sf_dir, "jurisdictions"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.audit_groups(table(spark, sf_dir, "dedup_audit"))
 
@@ -32,5 +36,5 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.token_ids(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p7_found": p7_found, "p8_ids": p8_ids}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids}
 SQL: dict[str, str] = {}
