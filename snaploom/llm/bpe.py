@@ -100,6 +100,10 @@ class Encoder:
             self.left.append(ids[a])
             self.right.append(ids[b])
             self.merged.append(ids[a + b])
+        #: number of bytes of each id
+        self.id_bytes = np.zeros(max(ids.values()) + 1, np.int64)
+        for symbols, i in ids.items():
+            self.id_bytes[i] = len(symbols)
         self.forget()
 
     def forget(self) -> None:
@@ -186,6 +190,10 @@ class Encoder:
         slots = self.slots
         return np.fromiter((slots[w] for w in words), np.int64, len(words))
 
+    def count(self, text: str) -> int:
+        """Number of ids of one text."""
+        return int(self.words(pa.array([text])).totals()[0])
+
     def words(self, texts: pa.Array) -> Words:
         return Words(self, texts)
 
@@ -205,7 +213,7 @@ class Words:
             lead = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
             self.point_bytes = np.append(np.flatnonzero(lead), len(data))
             text_points = np.searchsorted(self.point_bytes, at)
-        self.points, self.text_points = points, text_points
+        self.points, self.text_points, self.data = points, text_points, data
         first = np.zeros(len(points), bool)
         first[text_points[:-1][lengths > 0]] = True
         starts = np.flatnonzero(word_starts(points, first))
@@ -217,10 +225,18 @@ class Words:
         distinct = encoder.word_slots(coded.dictionary.to_pylist())
         self.slot = distinct[coded.indices.to_numpy()] if len(starts) else np.zeros(0, np.int64)
         self.encoder = encoder
+        # these stay as they are for this slice, even if the encoder forgets or grows
+        self.flat, self.offsets = encoder.flat, encoder.offsets
         #: number of ids of each word; the first word of each text
-        self.counts = encoder.offsets[self.slot + 1] - encoder.offsets[self.slot]
+        self.counts = self.offsets[self.slot + 1] - self.offsets[self.slot]
         self.text_words = np.searchsorted(starts, text_points)
 
+    def word_text(self, a: int, b: int) -> str:
+        """The text between two code points."""
+        if self.point_bytes is not None:
+            a, b = self.point_bytes[a], self.point_bytes[b]
+        return self.data[a:b].decode("utf-8")
+
     def totals(self) -> np.ndarray:
         """Number of ids of each text."""
         sums = np.concatenate([[0], np.cumsum(self.counts)])
@@ -229,8 +245,8 @@ class Words:
     def ids(self) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the offsets of the texts in them."""
         sums = np.concatenate([[0], np.cumsum(self.counts)])
-        where = np.repeat(self.encoder.offsets[self.slot] - sums[:-1], self.counts) + np.arange(sums[-1])
-        return self.encoder.flat[where], sums[self.text_words]
+        where = np.repeat(self.offsets[self.slot] - sums[:-1], self.counts) + np.arange(sums[-1])
+        return self.flat[where], sums[self.text_words]
 
 
 def _utf8(texts: pa.Array) -> tuple[bytes, np.ndarray, np.ndarray]:

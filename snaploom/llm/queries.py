@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snaploom.llm import canonical, components, encoding, repeats, same_address, survivors
+from snaploom.llm import canonical, components, encoding, mixing, repeats, same_address, splitting, survivors
 from snaploom.storage import table
 
 
@@ -36,5 +36,17 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.token_ids(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids}
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
+def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.pieces(table(spark, sf_dir, "documents"), table(spark, sf_dir, "split_limits"))
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_pieces": p10_pieces}
 SQL: dict[str, str] = {}
