@@ -1,7 +1,7 @@
 """Deduplicating new batches against all that was accepted before.
 
-An inverted index of rare tokens is kept in the shared folder, one segment per
-batch, each partitioned by token. A record's tokens combine the parts that a
+An inverted index of rare tokens is kept in the shared folder, partitioned by
+token, and appended to by each batch. A record's tokens combine the parts that a
 repeat must have in common whichever single part is wrong or missing: place and
 number; day and address; day and parcel; place, day and house. Tokens common to
 many records (a place, a day, a number without its place) are never indexed on
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from snaploom.llm import addresses
 from snaploom.llm.canonical import FRAME, LONG, NONE, Matcher, entries_of, fold, matcher_of
 from snaploom.llm.components import components
-from snaploom.storage import new_path, saved, shared_dir
+from snaploom.storage import new_path, remove, saved
 
 PARTS = "row bigint, place string, day date, number string, house string, unit string, direction string, kind string, street string, parcel string, point string"
 COLUMNS = [p.split()[0] for p in PARTS.split(", ")]
@@ -163,54 +164,61 @@ def repeats() -> Column:
 
 
 class RepeatIndex:
-    """What was accepted so far: postings and parts, one segment per batch."""
+    """What was accepted so far: parts by row and postings by token, both kept in buckets and only ever appended to.
 
-    def __init__(self, spark: SparkSession, listed: DataFrame, path: str | None = None):
+    A step shuffles its own records and candidates; accepted ones are read where they lie.
+    """
+
+    def __init__(self, spark: SparkSession, listed: DataFrame, path: str | None = None, buckets: int | None = None):
         self.spark, self.listed = spark, listed
         self.path = path or new_path(spark, "repeats")
-        shared_dir(spark)
-        self.batches = 0
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = "snaploom_" + re.sub(r"\W", "_", self.path.rsplit("/", 1)[-1])
+        self.steps = 0
         self.links: list[DataFrame] = []
         self.copies: list[DataFrame] = []
 
-    def _segments(self, what: str, schema) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{what}/{n}" for n in range(self.batches)])
+    def _append(self, what: str, rows: DataFrame, key: str) -> DataFrame:
+        """Adds rows of this step to a bucketed table; gives the whole table."""
+        placed = rows.repartition(self.buckets, key).withColumn("step", F.lit(self.steps))
+        table = placed.write.format("parquet").mode("append").partitionBy("step").bucketBy(self.buckets, key)
+        table.option("path", f"{self.path}/{what}").saveAsTable(f"{self.name}_{what}")
+        return self.spark.table(f"{self.name}_{what}")
 
     def accept(self, batch: DataFrame) -> DataFrame:
         """Checks a batch against all accepted rows and itself, and adds it; gives its (a, b) links, a < b."""
-        n = self.batches
-        read = saved(read_parts(batch, self.listed), "read", f"{self.path}/read/{n}")
-        # two hashes of all parts: records alike share both, and the aggregate below sends one row per task for a hot one
-        alike = [F.xxhash64(F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in COLUMNS[1:]]) for seed in (1, 2)]
-        signed = read.select(*COLUMNS, alike[0].alias("sign"), alike[1].alias("sign2"))
-        firsts = saved(signed.groupBy("sign", "sign2").agg(F.min("row").alias("first"), F.count("*").alias("n")), "firsts", f"{self.path}/firsts/{n}")
-        twice = firsts.where("n > 1").drop("n")
-        copies = signed.join(twice, ["sign", "sign2"]).where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")).distinct()
-        self.copies.append(saved(copies, "copies", f"{self.path}/copies/{n}"))
-        parts = saved(read.join(firsts.select(F.col("first").alias("row")), "row", "left_semi").dropDuplicates(["row"]), "parts", f"{self.path}/parts/{n}")
-        own = saved(postings(parts).repartition("token"), "postings", f"{self.path}/postings/{n}")
-        self.batches = n + 1
-        index = self._segments("postings", own.schema).toDF("token", "row2", "bare2", "by_parcel2")
-        met = own.join(index, "token").where("row <> row2 and (not by_parcel or bare or bare2)")
+        new = F.col("step") == self.steps
+        every = self._append("parts", read_parts(batch, self.listed).dropDuplicates(["row"]), "row")
+        parts = every.where(new)
+        # two hashes of all parts: records alike share both, and the aggregate sends one row per task for a hot one
+        signs = [F.xxhash64(F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in COLUMNS[1:]]).alias(f"sign{seed}") for seed in (1, 2)]
+        signed = parts.select("row", *signs)
+        twice = signed.groupBy("sign1", "sign2").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        copies = saved(signed.join(twice, ["sign1", "sign2"]).where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")), "copies", f"{self.path}/copies/{self.steps}")
+        index = self._append("postings", postings(parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti")), "token")
+        own = index.where(new).drop("step")
+        met = own.join(index.drop("step").toDF("token", "row2", "bare2", "by_parcel2"), "token").where("row <> row2 and (not by_parcel or bare or bare2)")
         pairs = met.select(F.least("row", "row2").alias("a"), F.greatest("row", "row2").alias("b")).distinct()
-        every = self._segments("parts", parts.schema)
         a, b = (every.select(*[F.col(c).alias(f"{x}_{c}") for c in COLUMNS]) for x in "ab")
         found = pairs.join(a, F.col("a") == F.col("a_row")).join(b, F.col("b") == F.col("b_row")).where(repeats()).select("a", "b")
-        self.links.append(saved(found, "links", f"{self.path}/links/{n}"))
-        return self.links[-1].unionAll(self.copies[-1])
+        self.links.append(saved(found, "links", f"{self.path}/links/{self.steps}"))
+        self.copies.append(copies)
+        self.steps += 1
+        return self.links[-1].unionAll(copies)
+
+    def close(self) -> None:
+        """Takes the tables out of the session; the files of links and copies stay for results not read yet."""
+        for what in ("parts", "postings") if self.steps else ():
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{what}")
+            remove(self.spark, f"{self.path}/{what}")
 
     def groups(self) -> DataFrame:
         """(row, first): each accepted row that is linked to others, and the first row of its group."""
-        if not self.batches:
+        if not self.steps:
             return self.spark.createDataFrame([], "row bigint, first bigint")
-        pairs = self.links[0]
-        for more in self.links[1:]:
-            pairs = pairs.unionAll(more)
+        pairs, copies = reduce(DataFrame.unionAll, self.links), reduce(DataFrame.unionAll, self.copies)
         linked = components(pairs).toDF("node", "group_id")
-        copies = self.copies[0]
-        for more in self.copies[1:]:
-            copies = copies.unionAll(more)
-        # copies take the group of their representative, which they can't be smaller than
+        # copies take the group of their first row, which is the smallest of them
         heads = copies.select(F.col("a").alias("head")).distinct()
         alone = heads.join(linked, F.col("head") == F.col("node"), "left_anti").select(F.col("head").alias("node"), F.col("head").alias("group_id"))
         known = linked.unionAll(alone)
@@ -225,6 +233,7 @@ def found_repeats(rows: DataFrame, listed: DataFrame) -> DataFrame:
     index = RepeatIndex(spark, listed)
     for n in numbers:
         index.accept(rows.where(F.col("batch_no").eqNullSafe(F.lit(n))))
+    index.close()
     later = rows.where(F.col("batch_no") > F.lit(numbers[0] if numbers and numbers[0] is not None else 0)).select(F.col("source_index").alias("source_index_b")).distinct()
     groups = index.groups().toDF("source_index_b", "source_index_a")
     return groups.where("source_index_a < source_index_b").join(later, "source_index_b", "left_semi").select("source_index_a", "source_index_b")
