@@ -39,11 +39,13 @@ def saved(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
 def discard(df: DataFrame | None) -> None:
     """Deletes the files of a table made by ``saved`` that nothing reads any more."""
     path = getattr(df, "_snaploom_path", None)
-    if path is None:
-        return
-    jvm = df.sparkSession._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+    if path is not None:
+        remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
