@@ -182,10 +182,10 @@ def series_record_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents WHERE text IS NULL OR trim(text) = ''), b AS (SELECT audit_id, row_number() OVER (ORDER BY audit_id) - 1 AS position FROM dedup_audit)
+WITH a AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents WHERE text IS NULL OR text = ''), b AS (SELECT audit_id, row_number() OVER (ORDER BY audit_id) - 1 AS position FROM dedup_audit)
 SELECT position, doc_id, audit_id FROM a JOIN b USING (position)""")
 def positional_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blanks = table(spark, sf_dir, "documents").where("text is null or trim(text) = ''").select("doc_id")
+    blanks = table(spark, sf_dir, "documents").where("text is null or text = ''").select("doc_id")
     return R.zipped(blanks, table(spark, sf_dir, "dedup_audit").select("audit_id"), ["doc_id"], ["audit_id"])
 
 

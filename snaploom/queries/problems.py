@@ -24,4 +24,27 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_loaded": p1_loaded, "p5_found": p5_found}
-SQL: dict[str, str] = {}
+
+_FIELD = r',(?:"[^"]*(?:""[^"]*)*"|[^",][^,]*|)'
+_DAY = r"regexp_full_match({0}, '[0-9]{{1,2}}/[0-9]{{1,2}}/([0-9]{{4}}|[0-9]{{2}})') AND coalesce(try_strptime({0}, '%m/%d/%y'), try_strptime({0}, '%m/%d/%Y')) IS NOT NULL OR regexp_full_match({0}, '[0-9]{{4}}(-[0-9]{{1,2}}-|/[0-9]{{1,2}}/)[0-9]{{1,2}}') AND coalesce(try_strptime({0}, '%Y-%m-%d'), try_strptime({0}, '%Y/%m/%d')) IS NOT NULL"
+_SPACE = r"[\s\x{00a0}\x{2000}-\x{200a}\x{3000}]+"
+_NEWEST = "SELECT record_id, unnest(map_entries({0}), recursive := true) FROM (SELECT * FROM sync_{1} QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY synced_at DESC) = 1)"
+_VALUE = f"""CASE WHEN trim(v) = '' THEN NULL WHEN key IN {copy_diff.COUNTS} THEN coalesce(CAST(try_cast(replace(v, ',', '') AS DOUBLE) AS VARCHAR), v)
+  WHEN key IN {copy_diff.DAYS} THEN coalesce(CAST(CAST(coalesce(try_strptime(v, '%m/%d/%y'), try_strptime(v, '%m/%d/%Y'), try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%Y/%m/%d')) AS DATE) AS VARCHAR), v) ELSE v END"""
+
+SQL: dict[str, str] = {
+    "p1_found": f"""
+WITH l AS (SELECT source_index, ',' || raw_line AS line FROM apr_lines),
+s AS (SELECT *, regexp_full_match(line, '(?:{_FIELD})+') AS quoted, regexp_full_match(line, '(?:{_FIELD}){{69}}') AS wide FROM l),
+f AS (SELECT *, CASE WHEN wide THEN regexp_extract(line, '^(?:{_FIELD}){{34}}({_FIELD})', 1) END AS d, CASE WHEN wide THEN regexp_extract(line, '^(?:{_FIELD}){{35}}({_FIELD})', 1) END AS n FROM s),
+v AS (SELECT *, trim(trim(d[2:], '"')) AS day, replace(trim(trim(n[2:], '"')), ',', '') AS total FROM f),
+r AS (SELECT source_index, CASE WHEN NOT quoted THEN ['quoting'] WHEN NOT wide THEN ['column_count'] ELSE list_filter([CASE WHEN day <> '' AND NOT ({_DAY.format("day")}) THEN 'permit_date' END,
+  CASE WHEN total <> '' AND NOT coalesce(regexp_full_match(total, '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(total AS DOUBLE) = floor(try_cast(total AS DOUBLE)), false) THEN 'reported_total' END], lambda x: x IS NOT NULL) END AS reasons FROM v)
+SELECT source_index, unnest(reasons) AS reason FROM r""",
+    "p5_found": f"""
+WITH e AS (SELECT record_id, key, {_VALUE} AS v FROM (SELECT record_id, key, regexp_replace(regexp_replace(value, '{_SPACE}', ' ', 'g'), '^ | $', '', 'g') AS v FROM ({_NEWEST.format("expected_fields", "expected")}))),
+d AS (SELECT record_id, key, {_VALUE} AS v FROM (SELECT record_id, key, regexp_replace(regexp_replace(value, '{_SPACE}', ' ', 'g'), '^ | $', '', 'g') AS v FROM ({_NEWEST.format("desired_fields", "desired")})))
+SELECT record_id, '' AS field_name, 'only_expected' AS found_as FROM sync_expected WHERE record_id NOT IN (SELECT record_id FROM sync_desired) GROUP BY 1
+UNION ALL SELECT record_id, '', 'only_desired' FROM sync_desired WHERE record_id NOT IN (SELECT record_id FROM sync_expected) GROUP BY 1
+UNION ALL SELECT record_id, key, 'differs' FROM e FULL JOIN d USING (record_id, key) WHERE record_id IN (SELECT record_id FROM sync_expected) AND record_id IN (SELECT record_id FROM sync_desired) AND e.v IS DISTINCT FROM d.v""",
+}
