@@ -226,14 +226,14 @@ class RepeatIndex:
         return known.unionAll(followers).toDF("row", "first")
 
 
-def found_repeats(rows: DataFrame, listed: DataFrame) -> DataFrame:
-    """(source_index_a, source_index_b) of all rows b of later batches that repeat a row a accepted first."""
+def found_repeats(rows: DataFrame, listed: DataFrame, history: int = 1) -> DataFrame:
+    """(source_index_a, source_index_b) of all rows b of batches after ``history`` that repeat a row a accepted first."""
     spark = rows.sparkSession
     numbers = [r[0] for r in rows.select("batch_no").distinct().orderBy(F.col("batch_no").asc_nulls_first()).collect()]
     index = RepeatIndex(spark, listed)
     for n in numbers:
         index.accept(rows.where(F.col("batch_no").eqNullSafe(F.lit(n))))
     index.close()
-    later = rows.where(F.col("batch_no") > F.lit(numbers[0] if numbers and numbers[0] is not None else 0)).select(F.col("source_index").alias("source_index_b")).distinct()
+    later = rows.where(F.col("batch_no") > history).select(F.col("source_index").alias("source_index_b")).distinct()
     groups = index.groups().toDF("source_index_b", "source_index_a")
     return groups.where("source_index_a < source_index_b").join(later, "source_index_b", "left_semi").select("source_index_a", "source_index_b")

@@ -121,7 +121,7 @@ class _Text:
         end = most
         while end > start + least and self.point(end) < 0:
             end -= 1
-        if self.point(end) < 0:  # one character is more than all the room
+        if end <= start + least or self.point(end) < 0:  # one character is more than all the room
             end = most + 1
             while self.point(end) < 0:
                 end += 1
