@@ -107,7 +107,8 @@ class Matcher:
             self.automaton.make_automaton()
         self.near: dict[str, set[tuple[str, str]]] = defaultdict(set)
         for key, tokens in self.tokens.items():
-            ends = (tokens[-1], *SHORT.get(tokens[-1], ())) if len(tokens) > 1 else tokens[-1:]
+            # shorter endings than three letters would come too near to the name without any
+            ends = [tokens[-1], *(e for e in SHORT.get(tokens[-1], ()) if len(e) > 2)] if len(tokens) > 1 else tokens[-1:]
             for whole in {"".join((*tokens[:-1], end)) for end in ends}:
                 for cut in _shortened(whole, 2):
                     self.near[cut].add((whole, key))

@@ -55,7 +55,7 @@ def number_key(text: str | None) -> str | None:
     if not text:
         return None
     up = NOISE.sub(" ", addresses.plain(text))
-    up = re.sub(r"(?<=[0-9])O|O(?=[0-9])", "0", re.sub(r"(?<=[0-9])O|O(?=[0-9])", "0", up))
+    up = re.sub(r"(?<=[0-9])O+|O+(?=[0-9])", lambda m: "0" * len(m[0]), up)
     digits = re.findall(r"[0-9]+", up)
     if not digits or not "".join(digits).strip("0"):
         return None
@@ -114,9 +114,14 @@ def _token(kind: str, *parts: str) -> Column:
     return F.when(known, F.xxhash64(F.lit(kind), *[F.col(p) for p in parts]))
 
 
+def _long_enough() -> Column:
+    """Records with fewer than two parts can't share two with any other."""
+    site = F.coalesce(F.col("street"), F.col("parcel"), F.col("point"))
+    return sum((F.col(p).isNotNull().cast("int") for p in ("place", "day", "number")), site.isNotNull().cast("int")) >= 2
+
+
 def postings(parts: DataFrame) -> DataFrame:
     """(token, row, bare, by_parcel): a record's rare tokens; bare records have no address."""
-    filled = sum((F.col(p).isNotNull().cast("int") for p in ("place", "day", "number")), F.coalesce(F.col("street"), F.col("parcel"), F.col("point")).isNotNull().cast("int"))
     tokens = F.array(
         F.struct(_token("number", "place", "number").alias("token"), F.lit(False).alias("by_parcel")),
         F.struct(_token("address", "day", "house", "street").alias("token"), F.lit(False).alias("by_parcel")),
@@ -125,8 +130,7 @@ def postings(parts: DataFrame) -> DataFrame:
         F.struct(_token("parcel", "day", "parcel").alias("token"), F.lit(True).alias("by_parcel")),
         F.struct(F.when(F.col("street").isNull() & F.col("parcel").isNull() | F.col("number").isNull() | F.col("day").isNull(), _token("point", "place", "point")).alias("token"), F.lit(False).alias("by_parcel")),
     )
-    long_enough = parts.where(filled >= 2)
-    each = long_enough.select("row", F.col("street").isNull().alias("bare"), F.explode(tokens).alias("t"))
+    each = parts.where(_long_enough()).select("row", F.col("street").isNull().alias("bare"), F.explode(tokens).alias("t"))
     return each.select("t.token", "row", "bare", "t.by_parcel").where("token is not null")
 
 
@@ -192,7 +196,7 @@ class RepeatIndex:
         parts = every.where(new)
         # two hashes of all parts: records alike share both, and the aggregate sends one row per task for a hot one
         signs = [F.xxhash64(F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in COLUMNS[1:]]).alias(f"sign{seed}") for seed in (1, 2)]
-        signed = parts.select("row", *signs)
+        signed = parts.where(_long_enough()).select("row", *signs)
         twice = signed.groupBy("sign1", "sign2").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
         copies = saved(signed.join(twice, ["sign1", "sign2"]).where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")), "copies", f"{self.path}/copies/{self.steps}")
         index = self._append("postings", postings(parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti")), "token")
