@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -22,3 +25,17 @@ def local_session(name: str = "snaploom", cores: int | str | None = None, memory
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for a Spark context; they need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_snaploom_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    name = Path(tempfile.mkdtemp(prefix="snaploom-")) / "snaploom.zip"
+    with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    context.addPyFile(str(name))
+    context._snaploom_shipped = True
