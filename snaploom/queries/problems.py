@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snaploom.operators import copy_diff, strict_load
+from snaploom.operators import activities, copy_diff, strict_load
 from snaploom.storage import table
 
 # fixed values: the positions of BP_ISSUE_DT1 and NO_BUILDING_PERMITS in the 69 columns of a Table A2 file
@@ -23,7 +24,13 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_diff.differences(table(spark, sf_dir, "sync_expected"), table(spark, sf_dir, "sync_desired"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_loaded": p1_loaded, "p5_found": p5_found}
+def activity_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    each = activities.activities(p1_loaded(spark, sf_dir), "source_index", "raw_values")
+    off = F.col("total") != F.col("band_units")
+    return each.groupBy("activity").agg(F.count("*").alias("n_rows"), F.count("day").alias("n_dated"), F.sum("total").alias("units"), F.sum("band_units").alias("band_units"), F.count_if(off).alias("n_mismatched"))
+
+
+QUERIES = {"activity_totals": activity_totals, "p1_found": p1_found, "p1_loaded": p1_loaded, "p5_found": p5_found}
 
 _FIELD = r',(?:"[^"]*(?:""[^"]*)*"|[^",][^,]*|)'
 _DAY = r"regexp_full_match({0}, '[0-9]{{1,2}}/[0-9]{{1,2}}/([0-9]{{4}}|[0-9]{{2}})') AND coalesce(try_strptime({0}, '%m/%d/%y'), try_strptime({0}, '%m/%d/%Y')) IS NOT NULL OR regexp_full_match({0}, '[0-9]{{4}}(-[0-9]{{1,2}}-|/[0-9]{{1,2}}/)[0-9]{{1,2}}') AND coalesce(try_strptime({0}, '%Y-%m-%d'), try_strptime({0}, '%Y/%m/%d')) IS NOT NULL"
@@ -41,6 +48,11 @@ v AS (SELECT *, trim(trim(d[2:], '"')) AS day, replace(trim(trim(n[2:], '"')), '
 r AS (SELECT source_index, CASE WHEN NOT quoted THEN ['quoting'] WHEN NOT wide THEN ['column_count'] ELSE list_filter([CASE WHEN day <> '' AND NOT ({_DAY.format("day")}) THEN 'permit_date' END,
   CASE WHEN total <> '' AND NOT coalesce(regexp_full_match(total, '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(total AS DOUBLE) = floor(try_cast(total AS DOUBLE)), false) THEN 'reported_total' END], lambda x: x IS NOT NULL) END AS reasons FROM v)
 SELECT source_index, unnest(reasons) AS reason FROM r""",
+    "activity_totals": f"""
+WITH f AS (SELECT source_index, ',' || raw_line AS line, regexp_extract_all(',' || raw_line, '{_FIELD}') AS v FROM apr_lines), g AS (SELECT source_index, list_transform(v, lambda x: trim(trim(x[2:], '"'))) AS v FROM f WHERE len(v) = 69 AND array_to_string(v, '') = line),
+h AS (SELECT * FROM g WHERE (v[35] = '' OR {_DAY.format("v[35]")}) AND (v[36] = '' OR coalesce(regexp_full_match(replace(v[36], ',', ''), '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(replace(v[36], ',', '') AS DOUBLE) = floor(try_cast(replace(v[36], ',', '') AS DOUBLE)), false))),
+a AS ({" UNION ALL ".join(f"SELECT '{a.name}' AS activity, v[{a.day}] <> '' AS dated, CASE WHEN v[{a.total}] = '' THEN 0 ELSE CAST(try_cast(replace(v[{a.total}], ',', '') AS DOUBLE) AS BIGINT) END AS total, {' + '.join(f'CAST(v[{i}] AS BIGINT)' for i in a.bands)} AS band_units FROM h" for a in activities.A2_ACTIVITIES)})
+SELECT activity, count(*) AS n_rows, count(*) FILTER (dated) AS n_dated, CAST(sum(total) AS BIGINT) AS units, CAST(sum(band_units) AS BIGINT) AS band_units, count(*) FILTER (total <> band_units) AS n_mismatched FROM a GROUP BY 1""",
     "p5_found": f"""
 WITH e AS (SELECT record_id, key, {_VALUE} AS v FROM (SELECT record_id, key, regexp_replace(regexp_replace(value, '{_SPACE}', ' ', 'g'), '^ | $', '', 'g') AS v FROM ({_NEWEST.format("expected_fields", "expected")}))),
 d AS (SELECT record_id, key, {_VALUE} AS v FROM (SELECT record_id, key, regexp_replace(regexp_replace(value, '{_SPACE}', ' ', 'g'), '^ | $', '', 'g') AS v FROM ({_NEWEST.format("desired_fields", "desired")})))
