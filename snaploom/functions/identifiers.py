@@ -6,6 +6,8 @@ digits count, and what follows a unit word is its value.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,13 @@ UNIT_VALUE = r"\b(UNIT|APT|APARTMENT|SUITE|STE|LOT|BLDG|BUILDING)\s*:?[# ]*([A-Z
 UNIT_MARK = r"(\b(UNIT|APT|APARTMENT|SUITE|STE|LOT|BLDG|BUILDING)\b|#)"
 
 
+def without_accents(c: Column) -> Column:
+    """Latin letters without their marks, in the JVM; the table follows from Unicode's own decompositions."""
+    marked = [(chr(p), unicodedata.normalize("NFD", chr(p))[0]) for p in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)] if len(unicodedata.normalize("NFD", chr(p))) > 1]
+    loose = "".join(chr(p) for p in range(0x300, 0x370))  # marks that stand by themselves go
+    return F.translate(c, "".join(m for m, _ in marked) + loose, "".join(b for _, b in marked))
+
+
 def capitals(c: Column) -> Column:
     return F.upper(strip(F.coalesce(c, F.lit(""))))
 

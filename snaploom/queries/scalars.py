@@ -11,6 +11,13 @@ from snaploom.functions.pace import pace
 from snaploom.queries.registry import query
 from snaploom.storage import table
 
+_SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace({c}, '^{_SPACE}+|{_SPACE}+$', '', 'g')"
+
+
 _COMPACT = "regexp_replace(upper(trim(coalesce({0}, ''))), '[^A-Z0-9]', '', 'g')"
 _EMPTY_IDS = ", ".join(f"'{x}'" for x in I.EMPTY_IDS)
 _EMPTY_PARCELS = ", ".join(f"'{x}'" for x in I.EMPTY_PARCELS)
@@ -54,31 +61,31 @@ def unit_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MAP = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in I.WORDS.items()) + "}"
-_TOKENS = r"list_transform(regexp_extract_all(regexp_replace(split_part(split_part(replace(upper(trim(coalesce(street_address, ''))), chr(13), chr(10)), chr(10), 1), ',', 1), '(\b(UNIT|APT|APARTMENT|SUITE|STE|LOT|BLDG|BUILDING)\b|#)(.|\n)*$', ''), '[A-Z0-9]+'), lambda t: coalesce({m}[t], t))".replace("{m}", _MAP)
+_TOKENS = r"list_transform(regexp_extract_all(regexp_replace(split_part(split_part(replace(upper({s}), chr(13), chr(10)), chr(10), 1), ',', 1), '(\b(UNIT|APT|APARTMENT|SUITE|STE|LOT|BLDG|BUILDING)\b|#)(.|\n)*$', ''), '[A-Z0-9]+'), lambda t: coalesce({m}[t], t))".replace("{m}", _MAP).replace("{s}", _strip("coalesce(street_address, '')"))
 
 
-@query(f"SELECT source_index, {_TOKENS} AS tokens FROM permit_records WHERE street_address <> '' AND regexp_full_match(street_address, '[ -~]*')")
+@query(f"SELECT source_index, {_TOKENS} AS tokens FROM permit_records")
 def address_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "permit_records").where(r"street_address <> '' AND street_address RLIKE '^[ -~]*$'")
+    p = table(spark, sf_dir, "permit_records")
     return p.select("source_index", I.street_tokens(F.col("street_address")).alias("tokens"))
 
 
 @query(f"""
-WITH t AS (SELECT source_index, {_TOKENS} AS tokens FROM permit_records WHERE regexp_full_match(coalesce(street_address, ''), '[ -~]*')),
+WITH t AS (SELECT source_index, {_TOKENS} AS tokens FROM permit_records),
 c AS (SELECT source_index, tokens, len(tokens) >= 3 AND tokens[-2] IN ({", ".join(f"'{s}'" for s in I.SUFFIXES)}) AND regexp_full_match(tokens[-1], '[A-Z]|[0-9]{{1,4}}') AS tailed FROM t WHERE len(tokens) >= 2 AND regexp_matches(tokens[1], '[0-9]'))
 SELECT source_index, tokens[1] AS house, array_to_string(CASE WHEN tailed THEN tokens[2:-2] ELSE tokens[2:] END, ' ') AS street FROM c""")
 def address_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "permit_records").where(r"coalesce(street_address, '') RLIKE '^[ -~]*$'")
+    p = table(spark, sf_dir, "permit_records")
     a = p.select("source_index", I.address(F.col("street_address"), F.array().cast("array<string>")).alias("a")).where("a is not null")
     return a.select("source_index", F.col("a.house").alias("house"), F.col("a.street").alias("street"))
 
 
 @query("""
-WITH t AS (SELECT source_index, jurisdiction_display AS place, formatted_apn, upper(street_address) AS street FROM permit_records WHERE formatted_apn <> '' AND street_address <> '' AND regexp_full_match(street_address, '[ -~]*'))
+WITH t AS (SELECT source_index, jurisdiction_display AS place, formatted_apn, regexp_replace(upper(street_address), '[^A-Z0-9]+', ' ', 'g') AS street FROM permit_records WHERE formatted_apn <> '' AND street_address <> '')
 SELECT a.source_index AS a, b.source_index AS b, CASE WHEN a.street = b.street THEN 0 ELSE 1 END AS edits
 FROM t a JOIN t b ON a.place = b.place AND a.formatted_apn = b.formatted_apn AND a.source_index < b.source_index WHERE levenshtein(a.street, b.street) <= 1""")
 def edit_distance_one_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = table(spark, sf_dir, "permit_records").where("formatted_apn <> '' AND street_address <> '' AND street_address rlike '^[ -~]*$'").select("source_index", F.col("jurisdiction_display").alias("place"), "formatted_apn", F.upper("street_address").alias("street"))
+    t = table(spark, sf_dir, "permit_records").where("formatted_apn <> '' AND street_address <> ''").select("source_index", F.col("jurisdiction_display").alias("place"), "formatted_apn", F.regexp_replace(F.upper("street_address"), "[^A-Z0-9]+", " ").alias("street"))
     on = (F.col("l.place") == F.col("r.place")) & (F.col("l.formatted_apn") == F.col("r.formatted_apn")) & (F.col("l.source_index") < F.col("r.source_index"))
     pairs = t.alias("l").join(t.alias("r"), on).where(I.one_edit(F.col("l.street"), F.col("r.street")))
     return pairs.select(F.col("l.source_index").alias("a"), F.col("r.source_index").alias("b"), F.when(F.col("l.street") == F.col("r.street"), 0).otherwise(1).alias("edits"))
@@ -120,11 +127,9 @@ def display_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("juris_key", I.display_name(F.col("juris_key")).alias("display"))
 
 
-@query("""SELECT DISTINCT regexp_replace(upper(strip_accents(trim(jurisdiction))), '\\s+', ' ', 'g') AS folded FROM permit_records WHERE jurisdiction IS NOT NULL AND trim(jurisdiction) <> '' AND regexp_matches(jurisdiction, '^[ -~áéíóúüöñÁÉÍÓÚÜÖÑ]*$')""")
+@query(f"SELECT DISTINCT regexp_replace({_strip('upper(strip_accents(jurisdiction))')}, '{_SPACE}+', ' ', 'g') AS folded FROM permit_records")
 def accent_fold_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plain = "jurisdiction is not null and trim(jurisdiction) <> '' and jurisdiction rlike '^[ -~áéíóúüöñÁÉÍÓÚÜÖÑ]*$'"
-    p = table(spark, sf_dir, "permit_records").where(plain)
-    return p.select(F.upper(S.squeeze(F.translate("jurisdiction", "áéíóúüöñÁÉÍÓÚÜÖÑ", "aeiouuonAEIOUUON"))).alias("folded")).distinct()
+    return table(spark, sf_dir, "permit_records").select(F.upper(S.squeeze(I.without_accents(F.col("jurisdiction")))).alias("folded")).distinct()
 
 
 @query("""
@@ -157,9 +162,9 @@ def band_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "permit_records").select("source_index", vli.alias("vli"), F.col("low").alias("li"), F.col("moderate").alias("mi"), F.col("above_moderate").alias("ami"), status.alias("total_status"))
 
 
-@query("SELECT address_id, coalesce(nullif(trim(street_address), ''), '') = coalesce(nullif(trim(standard_address), ''), '') AS same_text FROM address_records WHERE regexp_full_match(coalesce(street_address, '') || coalesce(standard_address, ''), '[ -~]*')")
+@query(f"SELECT address_id, {_strip("coalesce(street_address, '')")} = {_strip("coalesce(standard_address, '')")} AS same_text FROM address_records")
 def null_equal_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "address_records").where("concat(coalesce(street_address, ''), coalesce(standard_address, '')) rlike '^[ -~]*$'")
+    a = table(spark, sf_dir, "address_records")
     text = [F.nullif(S.strip(F.col(c)), F.lit("")) for c in ("street_address", "standard_address")]
     return a.select("address_id", text[0].eqNullSafe(text[1]).alias("same_text"))
 
