@@ -107,9 +107,3 @@ def parcel(text: str | None) -> str | None:
     if len(parts) == 1 and len(whole) == 9:  # written without separators
         parts = [whole[:3], whole[3:6], whole[6:]]
     return "|".join(p.lstrip("0") or "0" for p in parts)
-
-
-def parcel_digits(text: str | None) -> str | None:
-    """A parcel number as one run of digits and letters, for numbers written whole, with or without separators."""
-    whole = "".join(re.findall(r"[A-Z0-9]+", plain(text or "").strip().removeprefix("APN"))).lstrip("0")
-    return whole if any(c.isdigit() for c in whole) else None

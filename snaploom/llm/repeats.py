@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from snaploom.llm import addresses
 from snaploom.llm.canonical import FRAME, LONG, NONE, Matcher, entries_of, fold, matcher_of
 from snaploom.llm.components import components
-from snaploom.storage import new_path, remove, saved
+from snaploom.storage import discard, new_path, remove, saved
 
 PARTS = "row bigint, place string, day date, number string, house string, unit string, direction string, kind string, street string, parcel string, point string"
 COLUMNS = [p.split()[0] for p in PARTS.split(", ")]
@@ -43,6 +43,7 @@ COLUMNS = [p.split()[0] for p in PARTS.split(", ")]
 NOISE = re.compile(r"\b(?:PERMIT|PERMITS|NUMBER|NUM|NO)\b")
 # fixed values: entries for a place that name none
 NO_PLACE = {"", "NA", "N A", "NONE", "NULL", "TBD", "TEST", "STATE", "COUNTY", "CITY", "UNKNOWN", "VARIOUS", "MULTIPLE", "MULTIPLE CITIES", "SEE NOTES", "NOT LISTED", "OTHER"}
+NO_ADDRESS = addresses.Address(None, None, None, None, None)  # type: ignore[arg-type]
 #: Days that a date may be off where everything else agrees.
 NEAR_DAYS = 3
 
@@ -85,6 +86,17 @@ def place_key(matcher: Matcher, typed: str | None, *texts: str | None) -> str |
     return None
 
 
+def _parcel(c: Column) -> Column:
+    """A parcel number as one run of digits and letters, with or without separators, zeros in front left out."""
+    whole = F.regexp_replace(F.regexp_replace(F.upper(c), "[^A-Z0-9]", ""), "^(APN)?0*", "")
+    return F.when(whole.rlike("[0-9]"), whole)
+
+
+def _point(north: Column, east: Column) -> Column:
+    both = [F.trim(c.cast("string")) for c in (north, east)]
+    return F.when((both[0] != "") & (both[1] != ""), F.concat_ws(",", *both))
+
+
 def read_parts(rows: DataFrame, listed: DataFrame) -> DataFrame:
     entries = rows.sparkSession.sparkContext.broadcast(tuple(entries_of(listed)))
 
@@ -92,18 +104,19 @@ def read_parts(rows: DataFrame, listed: DataFrame) -> DataFrame:
         matcher = matcher_of(entries.value)
         for batch in batches:
             out = []
-            for row, typed, day, number, parcel, parcel2, street, standard, north, east in zip(*(c.to_pylist() for c in batch.columns)):
-                place = place_key(matcher, typed, standard, street)
+            for typed, number, street, standard in zip(*(batch.column(c).to_pylist() for c in ("typed", "tracking", "street_text", "standard_text"))):
+                place = matcher.exact.get(typed) or place_key(matcher, typed, standard, street)
                 near = place.removeprefix("?") if place else None
-                a = addresses.parse(street, near) or addresses.parse(standard, near)
-                a = a or addresses.Address(None, None, None, None, None)
-                point = f"{north.strip()},{east.strip()}" if north and east and north.strip() and east.strip() else None
-                out.append((row, place, day, number_key(number), a.house, a.unit, a.direction, a.kind, a.street, addresses.parcel_digits(parcel) or addresses.parcel_digits(parcel2), point))
-            cols = list(zip(*out)) if out else [[]] * len(COLUMNS)
-            types = [pa.int64(), pa.string(), pa.date32(), *[pa.string()] * 8]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], COLUMNS)
-
-    kept = rows.select(F.col("source_index").cast("bigint"), "jurisdiction", "permit_date", "tracking_raw", "raw_apn", "formatted_apn", "street_address", "standard_address", F.col("latitude").cast("string"), F.col("longitude").cast("string"))
+                a = addresses.parse(street, near) or addresses.parse(standard, near) or NO_ADDRESS
+                out.append((place, number_key(number), *a[:2], a.unit, a.kind, a.street))
+            read = dict(zip(("place", "number", "house", "direction", "unit", "kind", "street"), zip(*out))) if out else {}
+            # what needs no reading passes through as it is
+            yield pa.RecordBatch.from_arrays([batch.column(c) if c in ("row", "day", "parcel", "point") else pa.array(read.get(c, ()), pa.string()) for c in COLUMNS], COLUMNS)
+
+    kept = rows.select(
+        F.col("source_index").cast("bigint").alias("row"), F.col("permit_date").alias("day"), F.coalesce(_parcel(F.col("raw_apn")), _parcel(F.col("formatted_apn"))).alias("parcel"), _point(F.col("latitude"), F.col("longitude")).alias("point"),
+        F.col("jurisdiction").alias("typed"), F.col("tracking_raw").alias("tracking"), F.col("street_address").alias("street_text"), F.col("standard_address").alias("standard_text"),
+    )
     return kept.mapInArrow(read, PARTS)
 
 
@@ -122,14 +135,8 @@ def _long_enough() -> Column:
 
 def postings(parts: DataFrame) -> DataFrame:
     """(token, row, bare, by_parcel): a record's rare tokens; bare records have no address."""
-    tokens = F.array(
-        F.struct(_token("number", "place", "number").alias("token"), F.lit(False).alias("by_parcel")),
-        F.struct(_token("address", "day", "house", "street").alias("token"), F.lit(False).alias("by_parcel")),
-        F.struct(_token("numbered house", "number", "house").alias("token"), F.lit(False).alias("by_parcel")),
-        F.struct(_token("house", "place", "day", "house").alias("token"), F.lit(False).alias("by_parcel")),
-        F.struct(_token("parcel", "day", "parcel").alias("token"), F.lit(True).alias("by_parcel")),
-        F.struct(F.when(F.col("street").isNull() & F.col("parcel").isNull() | F.col("number").isNull() | F.col("day").isNull(), _token("point", "place", "point")).alias("token"), F.lit(False).alias("by_parcel")),
-    )
+    kinds = (("number", "place", "number"), ("numbered house", "number", "house"), ("house", "place", "day", "house"), ("parcel", "day", "parcel"), ("point", "point"))
+    tokens = F.array(*[F.struct(_token(*k).alias("token"), F.lit(k[0] == "parcel").alias("by_parcel")) for k in kinds])
     each = parts.where(_long_enough()).select("row", F.col("street").isNull().alias("bare"), F.explode(tokens).alias("t"))
     return each.select("t.token", "row", "bare", "t.by_parcel").where("token is not null")
 
@@ -203,9 +210,15 @@ class RepeatIndex:
         own = index.where(new).drop("step")
         met = own.join(index.drop("step").toDF("token", "row2", "bare2", "by_parcel2"), "token").where("row <> row2 and (not by_parcel or bare or bare2)")
         pairs = met.select(F.least("row", "row2").alias("a"), F.greatest("row", "row2").alias("b")).distinct()
-        a, b = (every.select(*[F.col(c).alias(f"{x}_{c}") for c in COLUMNS]) for x in "ab")
+        pairs = saved(pairs, "pairs", f"{self.path}/pairs/{self.steps}")
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+        # one pass over the accepted parts for both ends of all pairs
+        ends = saved(every.join(asked, "row", "left_semi").select(*COLUMNS), "ends", f"{self.path}/ends/{self.steps}")
+        a, b = (ends.select(*[F.col(c).alias(f"{x}_{c}") for c in COLUMNS]) for x in "ab")
         found = pairs.join(a, F.col("a") == F.col("a_row")).join(b, F.col("b") == F.col("b_row")).where(repeats()).select("a", "b")
         self.links.append(saved(found, "links", f"{self.path}/links/{self.steps}"))
+        discard(pairs)
+        discard(ends)
         self.copies.append(copies)
         self.steps += 1
         return self.links[-1].unionAll(copies)
