@@ -23,8 +23,20 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder; it is deleted when the application ends."""
+    path = f"{shared_dir(spark)}/snaploom/{spark.sparkContext.applicationId}"
+    if getattr(spark.sparkContext, "_snaploom_run_dir", None) != path:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+        spark.sparkContext._snaploom_run_dir = path
+    return path
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/snaploom/{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
@@ -48,5 +60,10 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -37,3 +37,12 @@ def newest_rows(stream: DataFrame, path: str, checkpoint: str, key: str, at: str
         best_match(rows, key, order).write.mode("overwrite").parquet(f"{path}/version={number}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def last_version(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Writes the whole result of an aggregation after each batch, the last one staying under ``path``."""
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
