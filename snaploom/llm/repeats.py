@@ -19,7 +19,7 @@ decides; large projects on one parcel therefore don't pair up.
 Defined results: a part that is null, blank or a stand-in is a gap and agrees
 with nothing; records with fewer than two parts repeat nothing; a null batch
 comes before all others; an empty table gives no rows; extra columns are
-ignored; rows repeated under one source_index count once.
+ignored; rows repeated under one source_index are one record, with the parts of each.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,9 +98,7 @@ def _point(north: Column, east: Column) -> Column:
     return F.when((both[0] != "") & (both[1] != ""), F.concat_ws(",", *both))
 
 
-def read_parts(rows: DataFrame, listed: DataFrame) -> DataFrame:
-    entries = rows.sparkSession.sparkContext.broadcast(tuple(entries_of(listed)))
-
+def read_parts(rows: DataFrame, entries: Broadcast) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = matcher_of(entries.value)
         for batch in batches:
@@ -181,7 +180,8 @@ class RepeatIndex:
     """
 
     def __init__(self, spark: SparkSession, listed: DataFrame, path: str | None = None, buckets: int | None = None):
-        self.spark, self.listed = spark, listed
+        self.spark = spark
+        self.entries = spark.sparkContext.broadcast(tuple(entries_of(listed)))
         self.path = path or new_path(spark, "repeats")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = "snaploom_" + re.sub(r"\W", "_", self.path.rsplit("/", 1)[-1])
@@ -199,7 +199,7 @@ class RepeatIndex:
     def accept(self, batch: DataFrame) -> DataFrame:
         """Checks a batch against all accepted rows and itself, and adds it; gives its (a, b) links, a < b."""
         new = F.col("step") == self.steps
-        every = self._append("parts", read_parts(batch, self.listed).dropDuplicates(["row"]), "row")
+        every = self._append("parts", read_parts(batch, self.entries), "row")
         parts = every.where(new)
         # two hashes of all parts: records alike share both, and the aggregate sends one row per task for a hot one
         signs = [F.xxhash64(F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in COLUMNS[1:]]).alias(f"sign{seed}") for seed in (1, 2)]
@@ -233,14 +233,8 @@ class RepeatIndex:
         """(row, first): each accepted row that is linked to others, and the first row of its group."""
         if not self.steps:
             return self.spark.createDataFrame([], "row bigint, first bigint")
-        pairs, copies = reduce(DataFrame.unionAll, self.links), reduce(DataFrame.unionAll, self.copies)
-        linked = components(pairs).toDF("node", "group_id")
-        # copies take the group of their first row, which is the smallest of them
-        heads = copies.select(F.col("a").alias("head")).distinct()
-        alone = heads.join(linked, F.col("head") == F.col("node"), "left_anti").select(F.col("head").alias("node"), F.col("head").alias("group_id"))
-        known = linked.unionAll(alone)
-        followers = copies.join(known, F.col("a") == F.col("node")).select("b", "group_id")
-        return known.unionAll(followers).toDF("row", "first")
+        # copies hang on their first row, the smallest of them
+        return components(reduce(DataFrame.unionAll, [*self.links, *self.copies])).toDF("row", "first")
 
 
 def found_repeats(rows: DataFrame, listed: DataFrame, history: int = 1) -> DataFrame:
