@@ -55,10 +55,14 @@ _BANDS = " + ".join(f"coalesce({b}, 0)" for b in survivors.BANDS)
 _FILLED = {f: f"regexp_matches({f}, '[\\p{{L}}\\p{{N}}]') AND upper(regexp_replace(regexp_replace({f}, '[^\\p{{L}}\\p{{N}}/]+', ' ', 'g'), '^[ /]+|[ /]+$', '', 'g')) NOT IN ({_STAND_INS})" for f in survivors.TEXTS}
 _FILLED |= {"permit_date": "year(permit_date) BETWEEN 2000 AND 2030", "reported_total": f"reported_total = {_BANDS}"}
 
+_OFFERS = f"""r AS (SELECT *, max(retained_report_year) OVER (PARTITION BY dup_group) AS retained FROM ledger_rows), o AS ({" UNION ALL ".join(f"SELECT dup_group, '{f}' AS field_name, ledger_id, report_year, loaded_at, coalesce(report_year = retained, false) AS trusted FROM r WHERE {c}" for f, c in _FILLED.items())}),
+c AS (SELECT dup_group, field_name, ledger_id FROM o QUALIFY row_number() OVER (PARTITION BY dup_group, field_name ORDER BY trusted DESC, report_year DESC NULLS LAST, loaded_at DESC NULLS LAST, ledger_id) = 1)"""
+
 SQL: dict[str, str] = {
-    "p4_found": f"""
-WITH r AS (SELECT *, max(retained_report_year) OVER (PARTITION BY dup_group) AS retained FROM ledger_rows), o AS ({" UNION ALL ".join(f"SELECT dup_group, '{f}' AS field_name, ledger_id, report_year, loaded_at, coalesce(report_year = retained, false) AS trusted FROM r WHERE {c}" for f, c in _FILLED.items())})
-SELECT dup_group, field_name, ledger_id FROM o QUALIFY row_number() OVER (PARTITION BY dup_group, field_name ORDER BY trusted DESC, report_year DESC NULLS LAST, loaded_at DESC NULLS LAST, ledger_id) = 1""",
+    "p4_survivors": f"""
+WITH {_OFFERS}
+SELECT g.dup_group, {", ".join(f"max(l.{f}) FILTER (c.field_name = '{f}') AS {f}" for f in survivors.FIELDS)} FROM (SELECT DISTINCT dup_group FROM ledger_rows) g LEFT JOIN c ON c.dup_group = g.dup_group LEFT JOIN ledger_rows l ON l.ledger_id = c.ledger_id GROUP BY 1""",
+    "p4_found": f"WITH {_OFFERS} SELECT dup_group, field_name, ledger_id FROM c",
     "p7_found": """
 WITH RECURSIVE e AS (SELECT source_index AS a, unnest(list_concat(list_concat([source_index], coalesce(matched_source_indices, [])), coalesce(retained_source_indices, []))) AS b FROM dedup_audit),
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, b AS reached FROM u UNION SELECT r.node, u.b FROM r JOIN u ON r.reached = u.a)
