@@ -48,6 +48,11 @@ v AS (SELECT *, trim(trim(d[2:], '"')) AS day, replace(trim(trim(n[2:], '"')), '
 r AS (SELECT source_index, CASE WHEN NOT quoted THEN ['quoting'] WHEN NOT wide THEN ['column_count'] ELSE list_filter([CASE WHEN day <> '' AND NOT ({_DAY.format("day")}) THEN 'permit_date' END,
   CASE WHEN total <> '' AND NOT coalesce(regexp_full_match(total, '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(total AS DOUBLE) = floor(try_cast(total AS DOUBLE)), false) THEN 'reported_total' END], lambda x: x IS NOT NULL) END AS reasons FROM v)
 SELECT source_index, unnest(reasons) AS reason FROM r""",
+    "p1_loaded": f"""
+WITH f AS (SELECT source_index, ',' || raw_line AS line, regexp_extract_all(',' || raw_line, '{_FIELD}') AS x FROM apr_lines), g AS (SELECT source_index, list_transform(x, lambda y: CASE WHEN starts_with(y, ',"') THEN replace(y[3:-2], '""', '"') ELSE y[2:] END) AS raw_values FROM f WHERE len(x) = 69 AND array_to_string(x, '') = line),
+v AS (SELECT *, trim(raw_values[35]) AS d, replace(trim(raw_values[36]), ',', '') AS n FROM g)
+SELECT source_index, raw_values, CAST(coalesce(try_strptime(d, '%m/%d/%y'), try_strptime(d, '%m/%d/%Y'), try_strptime(d, '%Y-%m-%d'), try_strptime(d, '%Y/%m/%d')) AS DATE) AS permit_date, CAST(try_cast(n AS DOUBLE) AS BIGINT) AS reported_total FROM v
+WHERE (d = '' OR {_DAY.format("d")}) AND (n = '' OR coalesce(regexp_full_match(n, '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(n AS DOUBLE) = floor(try_cast(n AS DOUBLE)), false))""",
     "activity_totals": f"""
 WITH f AS (SELECT source_index, ',' || raw_line AS line, regexp_extract_all(',' || raw_line, '{_FIELD}') AS v FROM apr_lines), g AS (SELECT source_index, list_transform(v, lambda x: trim(trim(x[2:], '"'))) AS v FROM f WHERE len(v) = 69 AND array_to_string(v, '') = line),
 h AS (SELECT * FROM g WHERE (v[35] = '' OR {_DAY.format("v[35]")}) AND (v[36] = '' OR coalesce(regexp_full_match(replace(v[36], ',', ''), '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(replace(v[36], ',', '') AS DOUBLE) = floor(try_cast(replace(v[36], ',', '') AS DOUBLE)), false))),
