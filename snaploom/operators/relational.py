@@ -190,3 +190,25 @@ def peel(edges: DataFrame) -> DataFrame:
             break
         size = n
     return left
+
+
+def lineage_ends(edges: DataFrame) -> DataFrame:
+    """(node, final, cyclic): every end that a node reaches over any edges, and whether it is on or before a cycle.
+
+    Nodes that reach no end have a null one. Edges of a node to itself lead
+    nowhere. Edges on or before cycles are taken off before paths are doubled;
+    the ends behind them are then carried back over them until none is new.
+    """
+    every = saved(edges.where("node <> next").select("node", "next").distinct(), "lineage")
+    loops = peel(every)
+    on_loops = loops.select("node").distinct()
+    ends = ancestors(every.join(loops, ["node", "next"], "left_anti"))
+    known = fresh = saved(ends.join(on_loops, "node", "left_semi"), "ends")
+    carried = []
+    while not fresh.isEmpty():
+        back = loops.join(fresh.toDF("next", "final"), "next").select("node", "final").distinct()
+        fresh = saved(back.join(known, ["node", "final"], "left_anti"), "ends")
+        known = known.unionAll(fresh)
+        carried.append(fresh)
+    found = reduce(DataFrame.unionAll, carried, ends)
+    return found.join(on_loops.withColumn("cyclic", F.lit(True)), "node", "full").select("node", "final", F.coalesce("cyclic", F.lit(False)).alias("cyclic"))

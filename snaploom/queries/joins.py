@@ -268,6 +268,16 @@ def lineage_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.ancestors(e.where("ref > source_index").select(F.col("source_index").alias("node"), F.col("ref").alias("next")))
 
 
+@query("""
+WITH RECURSIVE e AS (SELECT DISTINCT source_index AS node, unnest(retained_source_indices) AS next FROM dedup_audit), f AS (SELECT node, next FROM e WHERE next <> node), w AS (SELECT node, next AS final FROM f UNION SELECT w.node, f.next FROM w JOIN f ON w.final = f.node),
+looped AS (SELECT node FROM w WHERE node = final), cyclic AS (SELECT node FROM looped UNION SELECT node FROM w WHERE final IN (SELECT node FROM looped)), ends AS (SELECT node, final FROM w WHERE final NOT IN (SELECT node FROM f))
+SELECT node, final, node IN (SELECT node FROM cyclic) AS cyclic FROM ends UNION ALL SELECT node, NULL, true FROM cyclic WHERE node NOT IN (SELECT node FROM ends)""")
+def lineage_resolution_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over all retained links, whichever index is larger; ``lineage_resolution`` follows those to larger ones only, as its SQL does."""
+    e = R.references(table(spark, sf_dir, "dedup_audit"), ["retained_source_indices"], ["source_index"])
+    return R.lineage_ends(e.select(F.col("source_index").alias("node"), F.col("ref").alias("next")))
+
+
 @query("""
 WITH RECURSIVE e AS (SELECT DISTINCT source_index AS node, unnest(matched_source_indices) AS next FROM dedup_audit), r AS (SELECT node, next FROM e UNION SELECT r.node, e.next FROM r JOIN e ON r.next = e.node), cyclic AS (SELECT DISTINCT node FROM r WHERE node = next)
 SELECT node, next FROM e WHERE next IN (SELECT node FROM cyclic) OR next IN (SELECT node FROM r WHERE r.next IN (SELECT node FROM cyclic))""")
