@@ -28,6 +28,27 @@ def routes(target: DataFrame, source: DataFrame, key: str, fields: Sequence[str]
     return t.join(s, key, "full").select(key, route.alias("route"))
 
 
+def _changed_keys(before: Column, after: Column) -> Column:
+    """The keys of either map whose values differ, a missing one being null."""
+    keys = [F.coalesce(F.map_keys(c), F.array().cast("array<string>")) for c in (before, after)]
+    return F.filter(F.array_union(*keys), lambda k: ~F.try_element_at(before, k).eqNullSafe(F.try_element_at(after, k)))
+
+
+def map_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """(key, field_name, before, after) for each key of either side's ``fields`` whose values differ; one row per change."""
+    both = before.select(key, F.col("fields").alias("b")).join(after.select(key, F.col("fields").alias("a")), key)
+    each = both.select(key, "b", "a", F.explode(_changed_keys(F.col("b"), F.col("a"))).alias("field_name"))
+    return each.select(key, "field_name", *[F.try_element_at(c, F.col("field_name")).alias(n) for c, n in (("b", "before"), ("a", "after"))])
+
+
+def map_routes(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """As ``routes``, over all keys of either side's ``fields``."""
+    t, s = (df.select(key, F.struct("fields").alias(n)) for df, n in ((target, "t"), (source, "s")))
+    changed = F.size(_changed_keys(F.col("t.fields"), F.col("s.fields"))) > 0
+    route = F.when(F.col("t").isNull(), "blocked: no target").when(F.col("s").isNull(), "held: no source").when(changed, "change").otherwise("unchanged")
+    return t.join(s, key, "full").select(key, route.alias("route"))
+
+
 def ordered_digest(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """(digest, n) of a dimension-sized table in key order; two tables agree if and only if their digests do."""
     each = rows.select(F.col(key).alias("k"), F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])).alias("d"))

@@ -84,6 +84,27 @@ def change_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync.routes(e, d, "record_id", ["permit_total", "data_status"])
 
 
+_ALL_CHANGES = f"""SELECT record_id, field_name, b[field_name] AS before, a[field_name] AS after FROM (SELECT record_id, e.fields AS b, d.fields AS a, unnest(list_distinct(list_concat(map_keys(e.fields), map_keys(d.fields)))) AS field_name FROM {_EXPECTED} e JOIN {_DESIRED} d USING (record_id)) WHERE b[field_name] IS DISTINCT FROM a[field_name]"""
+
+
+@query(_ALL_CHANGES)
+def keyed_diff_changes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over all keys of both sides; ``keyed_diff_changes`` compares seven of them, as its SQL does."""
+    return sync.map_changes(*_copies(spark, sf_dir), "record_id")
+
+
+@query(f"SELECT field_name, count(*) AS n FROM ({_ALL_CHANGES}) GROUP BY 1")
+def change_summary_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed_diff_changes_whole(spark, sf_dir).groupBy("field_name").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+WITH e AS (SELECT record_id, fields, true AS known FROM {_EXPECTED}), d AS (SELECT record_id, fields, true AS known FROM {_DESIRED}), c AS (SELECT DISTINCT record_id FROM ({_ALL_CHANGES}))
+SELECT record_id, CASE WHEN e.known IS NULL THEN 'blocked: no target' WHEN d.known IS NULL THEN 'held: no source' WHEN record_id IN (SELECT record_id FROM c) THEN 'change' ELSE 'unchanged' END AS route FROM e FULL JOIN d USING (record_id)""")
+def change_routes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sync.map_routes(*_copies(spark, sf_dir), "record_id")
+
+
 @query("""SELECT 0 AS n_left, 0 AS n_right""")
 def projection_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "permit_records").select("source_index", "jurisdiction", "reported_total")
