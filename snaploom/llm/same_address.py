@@ -1,14 +1,19 @@
 """Deciding which address records denote the same location.
 
 Records are read into parts once, and those read alike become one form. Forms
-are sorted in three component orders: by number, unit and street; by number,
-unit and street from its end; by parcel, number and unit. Within a window of
+are sorted in four component orders: by number, unit and street; by number,
+unit and street from its end; by parcel, number and unit; by number, unit and
+street without a letter near its start, its end, or both. Within a window of
 neighbours whose keys begin alike, forms are compared: number, unit and
 jurisdiction strictly, the street with a few letters wrong, missing, doubled or
 swapped, direction and type unless one of them is missing. A window holds every
 neighbour that shares the beginning, so its size drops no pair; a window's
 forms are distinct spellings at one number and unit, however many records
-repeat them.
+repeat them. Streets alike that share neither their first nor their last two
+letters have an error at each end, or one at both in a short street; without
+the letters in error they are equal, so the fourth order misses none. It takes
+no street for another's misspelling that has other digits, or fewer than two
+letters in common with it, as A and B, or 101 and 111, are streets of their own.
 
 A form without direction or type may fit several places that contradict each
 other. Its parcel then decides; without that it stays apart from all of them.
@@ -37,6 +42,8 @@ from snaploom.storage import saved
 PARTS = "address_id bigint, place string, house string, unit string, direction string, kind string, streets array<string>, parcel string"
 #: Letters that the streets of one location may differ by: two records may each have one error.
 MOST_EDITS = 2
+#: An error that changes the first (or last) two letters of a street is among so many, in either spelling.
+ENDS = 3
 UNKNOWN = "?"
 
 
@@ -83,6 +90,21 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b"])
 
 
+def shortened(street: Column) -> Column:
+    """The street, and without one of its first letters, one of its last ones, and one of both; what keeps two letters or more."""
+    size = F.length(street)
+
+    def without(i: int, j: int) -> Column:
+        """Without the ``i``-th letter and the ``j``-th from the end, 0 being none; two only if two errors are allowed."""
+        head = F.substring(street, 1, max(i - 1, 0))
+        middle = F.substring(street, F.lit(i + 1), size - i - j)
+        tail = F.right(street, F.lit(max(j - 1, 0)))
+        return F.when(size > 5 if i and j else size >= max(i, j), F.concat(head, middle, tail))
+
+    every = F.array(*[without(i, j) for i in range(ENDS + 1) for j in range(ENDS + 1)])
+    return F.array_distinct(F.filter(every, lambda x: F.length(x) >= 2))
+
+
 def links(forms: DataFrame) -> DataFrame:
     """(a, b): pairs of forms that the passes find alike."""
     street, sep = F.col("street"), F.lit("\x1f")
@@ -94,7 +116,8 @@ def links(forms: DataFrame) -> DataFrame:
         F.struct(F.when(F.col("parcel").isNotNull(), F.concat_ws("\x1f", F.lit("3"), number[0], F.concat(F.col("parcel"), sep), number[1], number[2])).alias("window"), street.alias("rest")),
     )
     each = forms.select("form", "direction", "kind", F.explode("streets").alias("street"), "place", "house", "unit", "parcel")
-    keyed = each.select(F.explode(passes).alias("p"), "street", "form", "direction", "kind").select("p.window", "p.rest", "street", "form", "direction", "kind").where("window is not null")
+    near = F.transform(shortened(street), lambda x: F.struct(F.concat_ws("\x1f", F.lit("4"), *number, F.regexp_replace(street, "[^0-9]", ""), x).alias("window"), street.alias("rest")))
+    keyed = each.select(F.explode(F.concat(passes, near)).alias("p"), "street", "form", "direction", "kind").select("p.window", "p.rest", "street", "form", "direction", "kind").where("window is not null")
     return keyed.repartitionByRange("window").sortWithinPartitions("window", "rest", "form").mapInArrow(_windows, "a bigint, b bigint").distinct()
 
 

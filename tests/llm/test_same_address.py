@@ -5,7 +5,8 @@ from itertools import combinations
 import pytest
 
 from snaploom.llm.addresses import Address, parcel, parse
-from snaploom.llm.same_address import same_location
+from snaploom.llm.canonical import edits
+from snaploom.llm.same_address import links, same_location
 
 SCHEMA = "address_id bigint, jurisdiction_display string, street_address string, standard_address string, formatted_apn string, form int, place string, window string"
 
@@ -58,5 +59,35 @@ def test_errors_at_both_ends_of_a_street_meet_by_parcel_or_a_third_spelling(spar
     assert found(spark, [(1, b, "7 Xaskering St", "", ""), (2, b, "7 Maskerinx St", "", ""), (3, b, "7 Maskering St", "", "")]) == [(1, 2), (1, 3), (2, 3)]
 
 
+def test_errors_at_both_ends_of_a_street_meet_without_a_parcel(spark):
+    b = "Burdwick"
+    same = [("Xaskering", "Maskerinx"), ("Amskering", "Maskerign"), ("Xmaskering", "Maskeringx"), ("Maaskering", "Maskerin"), ("Oak", "Oek"), ("Ok", "Oak"), ("Pine", "Pnie")]
+    rows = [(2 * i + k, b, f"{i + 1} {name} St", "", "") for i, pair in enumerate(same) for k, name in enumerate(pair)]
+    others = [(100, b, "90 A St", "", ""), (101, b, "90 B St", "", ""), (102, b, "91 101 St", "", ""), (103, b, "91 111 St", "", ""), (104, b, "92 Xeron St", "", ""), (105, b, "92 Herox St", "", "")]
+    assert found(spark, rows + others) == [(2 * i, 2 * i + 1) for i in range(len(same))]
+
+
+def test_every_pair_of_streets_that_compares_as_alike_meets(spark):
+    import random
+
+    pick = random.Random(5)
+    streets = set()
+    for _ in range(60):
+        base = [pick.choice("ABCD") for _ in range(pick.randint(3, 9))]
+        streets.add("".join(base))
+        for _ in range(4):
+            word = base[:]
+            for at in pick.sample(range(len(base)), 2):
+                word[at : at + 1] = pick.choice([[], [pick.choice("ABCD")], [*word[at : at + 1], "A"]])
+            streets.add("".join(word))
+    words = sorted(s for s in streets if len(s) > 2)
+    forms = spark.createDataFrame([(i, "P", "1", None, None, None, [s], None) for i, s in enumerate(words)], "form bigint, place string, house string, unit string, direction string, kind string, streets array<string>, parcel string")
+    most = {(i, j): 2 if min(len(a), len(b)) > 5 else 1 for (i, a), (j, b) in combinations(enumerate(words), 2)}
+    want = {p for p, m in most.items() if edits(words[p[0]], words[p[1]], m) <= m}
+    met = {tuple(r) for r in links(forms).collect()}
+    # all meet that keep two letters; shorter remains are streets of their own
+    assert met <= want and {p for p in want - met if min(len(words[p[0]]), len(words[p[1]])) > 3} == set()
+
+
 def test_empty_table(spark):
     assert found(spark, []) == []
