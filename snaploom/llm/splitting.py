@@ -10,8 +10,10 @@ A piece that starts or ends inside a word is encoded again, and shortened
 should its own tokens be more than the limit.
 
 Defined results: null, blank and short texts, and those of sources without a
-limit, give no pieces; a null limit is none; an overlap is cut down to less
-than half of the limit, so that every piece adds text; all pieces together cover
+limit, give no pieces; a null limit is none; any overlap below the limit is
+kept, and a longer one is one token less than it, so that every piece adds text;
+the limit goes before the overlap where both can't be had, as a piece from
+inside a word may have more tokens of its own; all pieces together cover
 the whole text, and a single character longer than the limit is one piece;
 repeated documents are cut each; an empty table gives no pieces.
 """
@@ -129,26 +131,45 @@ class _Text:
 
     def pieces(self, limit: int, overlap: int) -> Iterator[tuple[int, int, int, int, str]]:
         """(start token, end token, start character, end character, boundary) of each piece."""
-        start, last = 0, int(self.tokens[-1])
-        overlap = max(0, min(overlap, (limit - 1) // 2))
+        start, before, last = 0, 0, int(self.tokens[-1])
+        overlap = max(0, min(overlap, limit - 1))
         while True:
-            room = limit
-            while True:
-                end, kind = self.cut(start, room, overlap)
-                a, b = self.point(start), self.point(end)
-                if (self.is_word(start) and self.is_word(end)) or room <= max(1, limit // 2):
-                    break
-                size = self.words.encoder.count(self.words.word_text(a, b))
-                if size <= limit:
-                    break
-                room -= size - limit
-            yield start, end, a - self.base, b - self.base, kind
+            found = None
+            while found is None:
+                known = before - start  # tokens of the piece that the one before has too
+                found = self._fitting(start, limit, max(overlap, known)) or self._fitting(start, limit, known)
+                if found is None and not known:  # one character longer than the limit
+                    found = self.cut(start, 1, 0)
+                if found is None:  # the limit goes before the overlap
+                    start = self._next_point(start)
+            end, kind = found
+            yield start, end, self.point(start) - self.base, self.point(end) - self.base, kind
             if end >= last:
                 return
             after = end - overlap
-            while self.point(after) < 0:
+            while after > start and self.point(after) < 0:
                 after -= 1
-            start = after if after > start else end
+            start, before = after if after > start else min(self._next_point(start), end), end
+
+    def _next_point(self, token: int) -> int:
+        token += 1
+        while self.point(token) < 0:
+            token += 1
+        return token
+
+    def _fitting(self, start: int, limit: int, least: int) -> tuple[int, str] | None:
+        """The end of the piece from ``start`` that is longer than ``least`` and within the limit on its own, if there is one."""
+        room = limit
+        while room > least:
+            end, kind = self.cut(start, room, least)
+            if self.is_word(start) and self.is_word(end):
+                size = end - start
+            else:
+                size = self.words.encoder.count(self.words.word_text(self.point(start), self.point(end)))
+            if size <= limit:
+                return end, kind
+            room = max(room - (size - limit), least + 1) if room > least + 1 else least
+        return None
 
 
 def pieces(documents: DataFrame, limits: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:

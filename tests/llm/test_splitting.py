@@ -55,3 +55,22 @@ def test_empty_table_and_tiny_limits(spark):
         rows = sorted(pieces(docs, limits).collect(), key=lambda r: r.piece_no)
         assert "".join(r.piece for r in rows) == ("" if limit == 0 else "🙂🙂 abc")
     assert pieces(docs.limit(0), limits).count() == 0
+
+
+def test_overlaps_of_half_the_limit_or_more_are_kept(spark):
+    t = Tokenizer.from_file(PATH)
+    count = lambda s: len(t.encode(s, add_special_tokens=False).ids)
+    for limit, overlap in ((20, 10), (20, 15), (8, 7)):
+        docs = spark.createDataFrame([(k, TEXTS[k][:400], "s") for k in (2, 3, 4, 8, 10, 11)], "doc_id bigint, text string, source string")
+        limits = spark.createDataFrame([("s", limit, overlap)], "source_name string, max_tokens int, overlap_tokens int")
+        got = {}
+        for r in pieces(docs, limits).collect():
+            got.setdefault(r.doc_id, []).append(r)
+        for k, rows in got.items():
+            rows.sort(key=lambda r: r.piece_no)
+            assert rows[0].start_char == 0 and rows[-1].end_char == len(TEXTS[k][:400])
+            for a, b in zip(rows, rows[1:]):
+                assert a.end_token < b.end_token and a.start_token < b.start_token and b.start_char <= a.end_char
+            assert all(count(r.piece) <= limit for r in rows)
+        for k in (4, 11):  # all tokens are whole words or end at characters
+            assert {a.end_token - b.start_token for a, b in zip(got[k], got[k][1:])} == {overlap}
