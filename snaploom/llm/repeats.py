@@ -11,8 +11,9 @@ all parts, and appends its postings; accepted records aren't read again, but
 for the parts of the candidates. The verified links of all batches are
 consolidated, and each group's first record is the one first accepted.
 
-Records of a batch whose parts are all alike are indexed once, so that copies,
-even of a third of all rows, cost one posting each token. Two parcel tokens
+Records of a batch whose parts are all alike, and enough for a repeat, are
+indexed once, so that copies, even of a third of all rows, cost one posting each
+token. Two parcel tokens
 only meet if one of their records has no address, as only then the parcel
 decides; large projects on one parcel therefore don't pair up.
 
@@ -203,7 +204,9 @@ class RepeatIndex:
         parts = every.where(new)
         # two hashes of all parts: records alike share both, and the aggregate sends one row per task for a hot one
         signs = [F.xxhash64(F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in COLUMNS[1:]]).alias(f"sign{seed}") for seed in (1, 2)]
-        signed = parts.where(_long_enough()).select("row", *signs)
+        # records that aren't copies of one another though alike, such as siblings on a parcel, go through the index
+        paired = parts.select(*COLUMNS, *[F.col(c).alias(f"{x}_{c}") for x in "ab" for c in COLUMNS])
+        signed = paired.where(_long_enough() & repeats()).select("row", *signs)
         twice = signed.groupBy("sign1", "sign2").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
         copies = saved(signed.join(twice, ["sign1", "sign2"]).where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")), "copies", f"{self.path}/copies/{self.steps}")
         index = self._append("postings", postings(parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti")), "token")

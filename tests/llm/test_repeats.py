@@ -64,3 +64,13 @@ def test_many_copies_and_empty_table(spark, listed):
     got = {tuple(r) for r in found_repeats(rows_of(spark, copies), listed).collect()}
     assert got == {(1, i) for i in range(301, 500)}
     assert found_repeats(rows_of(spark, []), listed).count() == 0
+
+
+def test_rows_alike_in_too_few_parts_are_no_copies_within_a_batch_either(spark, listed):
+    bare = dict(tracking_raw="", street_address="")
+    alike = [bare, bare | dict(raw_apn="", formatted_apn=""), bare | dict(jurisdiction="Peskvaldo")]
+    copies = [dict(tracking_raw=""), dict(street_address=""), bare | dict(latitude="1.5", longitude="2.5")]
+    apart = [dict(permit_date=date(2024, 1 + i, 5), raw_apn=f"77-{i}1-9", formatted_apn="", street_address=f"{7 + i} Elm{'xyzuvw'[i] * 4} St", tracking_raw=f"B24-0{i}55{i}") for i in range(6)]
+    rows = [(10 * i + k, 2, apart[i] | more) for i, more in enumerate(alike + copies) for k in (1, 2)]
+    got = found_repeats(rows_of(spark, rows), listed).collect()
+    assert sorted(tuple(r) for r in got) == [(31, 32), (41, 42), (51, 52)]
