@@ -1,32 +1,46 @@
 """Deduplicating new batches against all that was accepted before.
 
-An inverted index of rare tokens is kept in the shared folder, partitioned by
-token, and appended to by each batch. A record's tokens combine the parts that a
-repeat must have in common whichever single part is wrong or missing: place and
-number; day and address; day and parcel; place, day and house. Tokens common to
-many records (a place, a day, a number without its place) are never indexed on
-their own. A batch reads its own records once, probes the index with its tokens
-only, drops records too short to reach the overlap, verifies the candidates on
-all parts, and appends its postings; accepted records aren't read again, but
-for the parts of the candidates. The verified links of all batches are
+A record is a set of up to six tokens: place, day, number, site (house and
+unit), parcel and point. Two records of one permit share at least three of
+them, so records with fewer than three are neither indexed nor asked for. Tokens are ordered by
+rarity: numbers, parcels and points come first as long as few records hold
+them, then those that many hold, together with places, days and houses. The
+prefix of rare tokens is indexed token by token. Records that meet in no rare
+token share three frequent ones, and only such threes are indexed for
+frequent tokens, never a frequent token on its own. A token becomes frequent
+when more than ``RARE`` records hold it; the records holding it then are indexed
+by their threes as well, so that what is met never depends on the order of the
+batches, and no token pairs up more than so many records.
+
+The index is an inverted one, kept in the folder given, bucketed by token.
+A batch is read once, probes the index with its own tokens only, counts the tokens
+that both records of a candidate share, verifies those with three or more on
+all parts, and appends its postings. Postings carry two bytes of each token to
+count with, so the parts of accepted records are fetched for candidates only.
+The verified links of all batches are
 consolidated, and each group's first record is the one first accepted.
 
+A batch counts once a manifest names it, which is written last: what a lost
+driver left half written is overwritten, a batch given again changes
+nothing, and a later session goes on from the same folder. ``compact``
+rewrites the files of many batches into fewer, in as many buckets as wanted.
+
 Records of a batch whose parts are all alike, and enough for a repeat, are
 indexed once, so that copies, even of a third of all rows, cost one posting each
-token. Two parcel tokens
-only meet if one of their records has no address, as only then the parcel
-decides; large projects on one parcel therefore don't pair up.
+token. Parcels, and points without an address, only let records meet if one of them has no
+address, as only then they decide; large projects on one parcel therefore don't pair up.
 
 Defined results: a part that is null, blank or a stand-in is a gap and agrees
-with nothing; records with fewer than two parts repeat nothing; a null batch
+with nothing; records with fewer than three parts repeat nothing; a null batch
 comes before all others; an empty table gives no rows; extra columns are
 ignored; rows repeated under one source_index are one record, with the parts of each.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -48,6 +62,21 @@ NO_PLACE = {"", "NA", "N A", "NONE", "NULL", "TBD", "TEST", "STATE", "COUNTY", "
 NO_ADDRESS = addresses.Address(None, None, None, None, None)  # type: ignore[arg-type]
 #: Days that a date may be off where everything else agrees.
 NEAR_DAYS = 3
+#: Tokens that two records of one permit share at least.
+OVERLAP = 3
+#: Records that may hold a token for it to be rare.
+RARE = 64
+BASE = ("place", "day", "number", "site", "parcel", "point")
+#: The kinds whose tokens may be rare, the rarest first.
+SELECTIVE = ("number", "point", "parcel")
+#: The threes of tokens that suffice for a repeat, and whether only with a record without an address.
+THREES = (
+    (("place", "day", "number"), False), (("place", "day", "site"), False), (("place", "day", "point"), True),
+    (("place", "number", "site"), False), (("place", "number", "parcel"), True), (("place", "number", "point"), True),
+    (("day", "number", "site"), False), (("day", "number", "parcel"), True), (("day", "number", "point"), True),
+    (("place", "site", "point"), False), (("place", "parcel", "point"), True), (("day", "site", "point"), False), (("number", "site", "point"), False),
+)
+POSTING = "token bigint, row bigint, bare boolean, with_bare boolean, single boolean, fresh boolean, " + ", ".join(f"m_{b} smallint" for b in BASE)
 
 
 def number_key(text: str | None) -> str | None:
@@ -120,58 +149,73 @@ def read_parts(rows: DataFrame, entries: Broadcast) -> DataFrame:
     return kept.mapInArrow(read, PARTS)
 
 
-def _token(kind: str, *parts: str) -> Column:
-    known = F.lit(True)
-    for p in parts:
-        known = known & F.col(p).isNotNull()
-    return F.when(known, F.xxhash64(F.lit(kind), *[F.col(p) for p in parts]))
-
+# The expressions below are SQL texts, as building them column by column costs more than a small batch.
+#: What a token of each kind stands for; a site is a house and unit, or a street without a house.
+VALUES = {b: b for b in BASE} | {"site": "if(street is null, null, concat_ws('|', coalesce(house, concat('~', street)), coalesce(unit, '')))"}
 
-def _long_enough() -> Column:
-    """Records with fewer than two parts can't share two with any other."""
-    site = F.coalesce(F.col("street"), F.col("parcel"), F.col("point"))
-    return sum((F.col(p).isNotNull().cast("int") for p in ("place", "day", "number")), site.isNotNull().cast("int")) >= 2
 
+def _token(*kinds: str) -> str:
+    """One token, or several as one; null unless all are there."""
+    values = [VALUES[k] for k in kinds]
+    return f"if({' or '.join(f'{v} is null' for v in values)}, null, xxhash64('{'|'.join(kinds)}', {', '.join(values)}))"
 
-def postings(parts: DataFrame) -> DataFrame:
-    """(token, row, bare, by_parcel): a record's rare tokens; bare records have no address."""
-    kinds = (("number", "place", "number"), ("numbered house", "number", "house"), ("house", "place", "day", "house"), ("parcel", "day", "parcel"), ("point", "point"))
-    tokens = F.array(*[F.struct(_token(*k).alias("token"), F.lit(k[0] == "parcel").alias("by_parcel")) for k in kinds])
-    each = parts.where(_long_enough()).select("row", F.col("street").isNull().alias("bare"), F.explode(tokens).alias("t"))
-    return each.select("t.token", "row", "bare", "t.by_parcel").where("token is not null")
 
+#: Records with fewer tokens can't share enough with any other.
+LONG_ENOUGH = f"{' + '.join(f'int({v} is not null)' for v in VALUES.values())} >= {OVERLAP}"
 
-def _same(a: str, b: str) -> Column:
-    return F.coalesce(F.col(a) == F.col(b), F.lit(False))
 
+def postings(parts: DataFrame, fresh: bool = True, about: str | None = None) -> DataFrame:
+    """A record's postings: its rare tokens, and the threes of its frequent ones.
 
-def repeats() -> Column:
+    ``often`` has the kinds of SELECTIVE whose token is frequent in the record;
+    the column ``about`` restricts the threes to those with one of some kinds.
+    """
+    found = [f"named_struct('token', if(array_contains(often, '{k}'), null, {_token(k)}), 'with_bare', {k == 'parcel'}, 'single', true)" for k in SELECTIVE] if about is None else []
+    for kinds, with_bare in THREES:
+        wanted = [f"array_contains(often, '{k}')" for k in kinds if k in SELECTIVE]
+        if about is not None:
+            wanted.append(f"arrays_overlap({about}, array({', '.join(map(repr, kinds))}))")
+        found.append(f"named_struct('token', if({' and '.join(wanted) or 'true'}, {_token(*kinds)}, null), 'with_bare', {with_bare}, 'single', false)")
+    marks = [f"smallint(if({v} is null, null, pmod(hash({v}), 32768))) as m_{k}" for k, v in VALUES.items()]
+    each = parts.where(LONG_ENOUGH).selectExpr("row", "street is null as bare", *marks, f"inline(array({', '.join(found)}))").where("token is not null")
+    return each.selectExpr("token", "row", "bare", "with_bare", "single", f"{str(fresh).lower()} as fresh", *[f"m_{k}" for k in BASE])
+
+
+def _repeats() -> str:
     """Whether the parts of ``a_`` and ``b_`` columns are those of one permit.
 
     One of place, day, number and site may be wrong or missing if the others
     agree. Without an address the parcel stands for the site; where the number
     disagrees as well, the coordinates have to be the same, as siblings share a
-    parcel and a day. Equal coordinates also let two of the parts be missing or
-    slightly off.
+    parcel and a day. Equal coordinates beside an equal address or parcel also
+    let two of the parts be missing or slightly off.
     """
-    place, day, number, parcel, point = (_same(f"a_{p}", f"b_{p}") for p in ("place", "day", "number", "parcel", "point"))
-    loose = [F.col(f"a_{p}").isNull() | F.col(f"b_{p}").isNull() | _same(f"a_{p}", f"b_{p}") for p in ("direction", "kind")]
-    street = F.coalesce(F.levenshtein(F.col("a_street"), F.col("b_street"), 2) >= 0, F.lit(False))
-    address = F.col("a_house").eqNullSafe(F.col("b_house")) & F.col("a_unit").eqNullSafe(F.col("b_unit")) & loose[0] & loose[1] & street
-    bare = F.col("a_street").isNull() | F.col("b_street").isNull()
-    site = address | (bare & (parcel | (point & (F.col("a_parcel").isNull() | F.col("b_parcel").isNull()))))
-    close_day = F.col("a_day").isNull() | F.col("b_day").isNull() | (F.abs(F.datediff(F.col("a_day"), F.col("b_day"))) <= NEAR_DAYS)
-    close_number = F.col("a_number").isNull() | F.col("b_number").isNull() | (F.levenshtein(F.col("a_number"), F.col("b_number"), 1) >= 0)
-    no_place = F.col("a_place").isNull() | F.col("b_place").isNull()
-    parcels_fit = F.col("a_parcel").isNull() | F.col("b_parcel").isNull() | parcel
-    return (
-        (place & day & number)
-        | (place & day & (address | (site & point)))
-        | (place & number & site)
-        | (day & number & site)
-        | (place & site & point & close_day & close_number)
-        | (no_place & (day | number) & address & parcels_fit & point)
+
+    def same(part: str) -> str:
+        return f"coalesce(a_{part} = b_{part}, false)"
+
+    def gap(part: str) -> str:
+        return f"(a_{part} is null or b_{part} is null)"
+
+    place, day, number, parcel, point = map(same, ("place", "day", "number", "parcel", "point"))
+    loose = " and ".join(f"({gap(p)} or a_{p} = b_{p})" for p in ("direction", "kind"))
+    address = f"(a_house <=> b_house and a_unit <=> b_unit and {loose} and coalesce(levenshtein(a_street, b_street, 2) >= 0, false))"
+    bare = gap("street")
+    site = f"({address} or ({bare} and ({parcel} or ({point} and {gap('parcel')}))))"
+    close_day = f"({gap('day')} or abs(datediff(a_day, b_day)) <= {NEAR_DAYS})"
+    close_number = f"({gap('number')} or levenshtein(a_number, b_number, 1) >= 0)"
+    ways = (
+        f"{place} and {day} and {number}",
+        f"{place} and {day} and ({address} or ({site} and {point}))",
+        f"{place} and {number} and {site}",
+        f"{day} and {number} and {site}",
+        f"{place} and ({address} or ({bare} and {parcel})) and {point} and {close_day} and {close_number}",
+        f"{gap('place')} and ({day} or {number}) and {address} and ({gap('parcel')} or {parcel}) and {point}",
     )
+    return " or ".join(f"({w})" for w in ways)
+
+
+REPEATS = _repeats()
 
 
 class RepeatIndex:
@@ -180,64 +224,192 @@ class RepeatIndex:
     A step shuffles its own records and candidates; accepted ones are read where they lie.
     """
 
+    TABLES = {"parts": (PARTS, "row"), "postings": (POSTING, "token")}
+
     def __init__(self, spark: SparkSession, listed: DataFrame, path: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.entries = spark.sparkContext.broadcast(tuple(entries_of(listed)))
-        self.path = path or new_path(spark, "repeats")
+        self.temporary = path is None
+        self.path = (path or new_path(spark, "repeats")).rstrip("/")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.name = "snaploom_" + re.sub(r"\W", "_", self.path.rsplit("/", 1)[-1])
-        self.steps = 0
-        self.links: list[DataFrame] = []
-        self.copies: list[DataFrame] = []
-
-    def _append(self, what: str, rows: DataFrame, key: str) -> DataFrame:
-        """Adds rows of this step to a bucketed table; gives the whole table."""
-        placed = rows.repartition(self.buckets, key).withColumn("step", F.lit(self.steps))
-        table = placed.write.format("parquet").mode("append").partitionBy("step").bucketBy(self.buckets, key)
-        table.option("path", f"{self.path}/{what}").saveAsTable(f"{self.name}_{what}")
-        return self.spark.table(f"{self.name}_{what}")
-
-    def accept(self, batch: DataFrame) -> DataFrame:
-        """Checks a batch against all accepted rows and itself, and adds it; gives its (a, b) links, a < b."""
-        new = F.col("step") == self.steps
-        every = self._append("parts", read_parts(batch, self.entries), "row")
-        parts = every.where(new)
-        # two hashes of all parts: records alike share both, and the aggregate sends one row per task for a hot one
-        signs = [F.xxhash64(F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in COLUMNS[1:]]).alias(f"sign{seed}") for seed in (1, 2)]
-        # records that aren't copies of one another though alike, such as siblings on a parcel, go through the index
-        paired = parts.select(*COLUMNS, *[F.col(c).alias(f"{x}_{c}") for x in "ab" for c in COLUMNS])
-        signed = paired.where(_long_enough() & repeats()).select("row", *signs)
-        twice = signed.groupBy("sign1", "sign2").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-        copies = saved(signed.join(twice, ["sign1", "sign2"]).where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b")), "copies", f"{self.path}/copies/{self.steps}")
-        index = self._append("postings", postings(parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti")), "token")
-        own = index.where(new).drop("step")
-        met = own.join(index.drop("step").toDF("token", "row2", "bare2", "by_parcel2"), "token").where("row <> row2 and (not by_parcel or bare or bare2)")
-        pairs = met.select(F.least("row", "row2").alias("a"), F.greatest("row", "row2").alias("b")).distinct()
-        pairs = saved(pairs, "pairs", f"{self.path}/pairs/{self.steps}")
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-        # one pass over the accepted parts for both ends of all pairs
-        ends = saved(every.join(asked, "row", "left_semi").select(*COLUMNS), "ends", f"{self.path}/ends/{self.steps}")
-        a, b = (ends.select(*[F.col(c).alias(f"{x}_{c}") for c in COLUMNS]) for x in "ab")
-        found = pairs.join(a, F.col("a") == F.col("a_row")).join(b, F.col("b") == F.col("b_row")).where(repeats()).select("a", "b")
-        self.links.append(saved(found, "links", f"{self.path}/links/{self.steps}"))
-        discard(pairs)
-        discard(ends)
-        self.copies.append(copies)
+        self.generation = self.steps = self.commits = 0
+        self.batches: dict[str, int] = {}
+        self._read_manifest()
+        self._open()
+
+    # what is committed
+
+    def _at(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self):
+        return self._at(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _read_manifest(self) -> None:
+        folder = self._at(f"{self.path}/manifest")
+        names = [f.getPath().getName() for f in self._fs().listStatus(folder)] if self._fs().exists(folder) else []
+        last = max((n for n in names if n.endswith(".json")), default=None)
+        if last:
+            told = json.loads(self.spark.read.text(f"{self.path}/manifest/{last}", wholetext=True).first()[0])
+            self.commits = int(last.removesuffix(".json")) + 1
+            self.buckets, self.generation, self.steps, self.batches = (told[k] for k in ("buckets", "generation", "steps", "batches"))
+
+    def _commit(self) -> None:
+        """Writes the next manifest under another name and renames it, which it does once or not at all."""
+        told = {"buckets": self.buckets, "generation": self.generation, "steps": self.steps, "batches": self.batches}
+        name = f"{self.path}/manifest/{self.commits:08d}"
+        out = self._fs().create(self._at(f"{name}.part"), True)
+        try:
+            out.write(bytearray(json.dumps(told).encode()))
+        finally:
+            out.close()
+        if not self._fs().rename(self._at(f"{name}.part"), self._at(f"{name}.json")):
+            raise RuntimeError(f"{name}.json is there already: another session writes to this index")
+        self.commits += 1
+
+    def _name(self, what: str) -> str:
+        return f"snaploom_{re.sub(r'[^A-Za-z0-9]', '_', self.path[-80:])}_{self.generation}_{what}"
+
+    def _folder(self, what: str) -> str:
+        return f"{self.path}/{what}-{self.generation}"
+
+    def _open(self) -> None:
+        for what, (columns, key) in self.TABLES.items():
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(what)}")
+            self.spark.sql(f"CREATE TABLE {self._name(what)} ({columns.replace('row bigint', '`row` bigint')}, step int) USING parquet PARTITIONED BY (step) CLUSTERED BY (`{key}`) INTO {self.buckets} BUCKETS LOCATION '{self._folder(what)}'")
+            if self.steps:
+                self.spark.sql(f"MSCK REPAIR TABLE {self._name(what)}")
+
+    def _table(self, what: str) -> DataFrame:
+        """The committed rows and those of the step under way."""
+        return self.spark.table(self._name(what)).where(F.col("step") <= self.steps)
+
+    def _append(self, what: str, rows: DataFrame) -> None:
+        key = self.TABLES[what][1]
+        rows.repartition(self.buckets, key).withColumn("step", F.lit(self.steps)).write.insertInto(self._name(what))
+
+    def _frequent(self, more: Sequence[str] = ()) -> DataFrame | None:
+        """(kind, token) of the tokens that more than RARE records hold; none if there is no such token."""
+        folder = self._at(f"{self.path}/frequent")
+        done = [f.getPath().getName() for f in self._fs().listStatus(folder)] if self._fs().exists(folder) else []
+        names = {n for n in done if int(n.split("-")[0]) < self.steps} | set(more)
+        return self.spark.read.schema("token bigint").parquet(*[f"{self.path}/frequent/{n}" for n in sorted(names)]) if names else None
+
+    def _with_often(self, parts: DataFrame, frequent: DataFrame | None) -> DataFrame:
+        """Adds the kinds whose token is frequent in the record."""
+        if frequent is None:
+            return parts.withColumn("often", F.array().cast("array<string>"))
+        for k in SELECTIVE:
+            parts = parts.withColumn("asked", F.expr(_token(k))).join(frequent.distinct().toDF("asked").withColumn(f"often_{k}", F.lit(k)), "asked", "left").drop("asked")
+        each = [F.col(f"often_{k}") for k in SELECTIVE]
+        return parts.withColumn("often", F.array_compact(F.array(*each))).drop(*[f"often_{k}" for k in SELECTIVE])
+
+    def _promote(self, tokens: DataFrame, name: str, before: DataFrame | None) -> bool:
+        """Makes tokens frequent, and indexes the accepted records that hold them by their threes."""
+        if tokens.isEmpty():
+            return False
+        new = saved(tokens.select("token").distinct(), "frequent", f"{self.path}/frequent/{name}")
+        held = self._table("postings").where("single").join(new, "token", "left_semi").select("row").distinct()
+        after = new if before is None else before.unionAll(new)
+        again = self._with_often(self._table("parts").join(held, "row", "left_semi").select(*COLUMNS), new).withColumnRenamed("often", "now_often")
+        self._append("postings", postings(self._with_often(again, after), False, "now_often"))
+        return True
+
+    def accept(self, batch: DataFrame, name: str | None = None) -> DataFrame:
+        """Checks a batch against all accepted rows and itself, and adds it; gives its (a, b) links, a < b.
+
+        A batch of a name that was accepted before isn't read again.
+        """
+        if name is not None and name in self.batches:
+            return self._links(self.batches[name])
+        step = self.steps
+        for what in self.TABLES:  # what a lost session left of this step
+            remove(self.spark, f"{self._folder(what)}/step={step}")
+        for n in "ab":
+            remove(self.spark, f"{self.path}/frequent/{step}-{n}")
+        self._append("parts", read_parts(batch, self.entries))
+        parts = self._table("parts").where(f"step = {step}").select(*COLUMNS)
+        # records alike share the hash of all parts and a second one as check; the aggregate sends one row per task for a hot one.
+        # Records that aren't copies of one another though alike, such as siblings on a parcel, go through the index.
+        signs = [f"xxhash64({seed}, {', '.join(f'coalesce(string({c}), chr(0))' for c in COLUMNS[1:])})" for seed in (1, 2)]
+        paired = parts.where(LONG_ENOUGH).selectExpr(*COLUMNS, *[f"{c} as {x}_{c}" for x in "ab" for c in COLUMNS])
+        keyed = paired.selectExpr("row", f"if({REPEATS}, {signs[0]}, null) as sign", f"{signs[1]} as check", *[f"{_token(k)} as t_{k}" for k in SELECTIVE])
+        keys = ", ".join(f"named_struct('kind', 'token', 'key', t_{k}, 'check', 0L)" for k in SELECTIVE)
+        groups = keyed.selectExpr("row", f"inline(array(named_struct('kind', 'copy', 'key', sign, 'check', check), {keys}))").where("key is not null").groupBy("kind", "key", "check").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+        groups = saved(groups.where(f"n > if(kind = 'copy', 1, {RARE})"), "groups", f"{self.path}/groups/{step}")
+        twice = groups.where("kind = 'copy'").select(F.col("key").alias("sign"), "check", "first")
+        copies = keyed.join(twice, ["sign", "check"]).where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b"))
+        copies = saved(copies, "copies", f"{self.path}/copies/{step}")
+        frequent = self._frequent()
+        hot = groups.where("kind = 'token'").select(F.col("key").alias("token"))
+        if frequent is not None:
+            hot = hot.join(frequent, "token", "left_anti")
+        if self._promote(hot, f"{step}-a", frequent):
+            frequent = self._frequent([f"{step}-a"])
+        self._append("postings", postings(self._with_often(parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti"), frequent)))
+        saved(self._verified(step), "links", f"{self.path}/links/{step}")
+        discard(groups)
+        # tokens that have become frequent by adding up
+        held = self._table("postings").where("single").groupBy("token").agg(F.count("*").alias("n")).where(f"n > {RARE}").select("token")
+        self._promote(held if frequent is None else held.join(frequent, "token", "left_anti"), f"{step}-b", frequent)
+        if name is not None:
+            self.batches[name] = step
         self.steps += 1
-        return self.links[-1].unionAll(copies)
+        self._commit()
+        return self._links(step)
+
+    def candidates(self, step: int) -> DataFrame:
+        """(b, a): a record of the step and one accepted before, or before it in the step, that share enough tokens."""
+        index = self._table("postings")
+        marks = [f"m_{k}" for k in BASE]
+        own = index.where(f"step = {step} and fresh").select("token", "row", "bare", *marks)
+        other = index.selectExpr("token", "row as row2", "bare as bare2", "with_bare", f"step = {step} as new2", *[f"{m} as {m}2" for m in marks])
+        shared = " + ".join(f"coalesce(int({m} = {m}2), 0)" for m in marks)
+        met = own.join(other, "token").where(f"row2 <> row and (not new2 or row2 < row) and (not with_bare or bare or bare2) and {shared} >= {OVERLAP}")
+        return met.selectExpr("row as b", "row2 as a").distinct()
+
+    def _verified(self, step: int) -> DataFrame:
+        every = self._table("parts")
+        a, b = (rows.selectExpr(*[f"{c} as {x}_{c}" for c in COLUMNS]) for x, rows in (("a", every), ("b", every.where(f"step = {step}"))))
+        met = self.candidates(step).join(b, F.col("b") == F.col("b_row")).join(a, F.col("a") == F.col("a_row"))
+        return met.where(REPEATS).selectExpr("least(a, b) as a", "greatest(a, b) as b")
+
+    def _links(self, step: int) -> DataFrame:
+        return self.spark.read.schema("a bigint, b bigint").parquet(f"{self.path}/links/{step}", f"{self.path}/copies/{step}")
+
+    def compact(self, buckets: int | None = None) -> None:
+        """Rewrites the tables of all steps as one, in as many buckets as given; rare postings of frequent tokens are left out."""
+        old, frequent = {w: self._folder(w) for w in self.TABLES}, self._frequent()
+        kept = {w: self._table(w).drop("step") for w in self.TABLES}
+        if frequent is not None:
+            kept["postings"] = kept["postings"].join(frequent.withColumn("single", F.lit(True)), ["token", "single"], "left_anti")
+        names = [self._name(w) for w in self.TABLES]
+        self.generation, self.buckets, steps = self.generation + 1, buckets or self.buckets, self.steps
+        for what in self.TABLES:
+            remove(self.spark, self._folder(what))
+        self.steps = 0
+        self._open()
+        for what, rows in kept.items():
+            self._append(what, rows.select(*[c.split()[0] for c in self.TABLES[what][0].split(", ")]))
+        self.steps = steps
+        self._commit()
+        for name, folder in zip(names, old.values()):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            remove(self.spark, folder)
 
     def close(self) -> None:
-        """Takes the tables out of the session; the files of links and copies stay for results not read yet."""
-        for what in ("parts", "postings") if self.steps else ():
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{what}")
-            remove(self.spark, f"{self.path}/{what}")
+        """Takes the tables out of the session. The files stay; of an index without a folder of its own, only links and copies, for results not read yet."""
+        for what in self.TABLES:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(what)}")
+            if self.temporary:
+                remove(self.spark, self._folder(what))
 
     def groups(self) -> DataFrame:
         """(row, first): each accepted row that is linked to others, and the first row of its group."""
         if not self.steps:
             return self.spark.createDataFrame([], "row bigint, first bigint")
         # copies hang on their first row, the smallest of them
-        return components(reduce(DataFrame.unionAll, [*self.links, *self.copies])).toDF("row", "first")
+        return components(reduce(DataFrame.unionAll, [self._links(s) for s in range(self.steps)])).toDF("row", "first")
 
 
 def found_repeats(rows: DataFrame, listed: DataFrame, history: int = 1) -> DataFrame:
@@ -246,7 +418,7 @@ def found_repeats(rows: DataFrame, listed: DataFrame, history: int = 1) -> DataF
     numbers = [r[0] for r in rows.select("batch_no").distinct().orderBy(F.col("batch_no").asc_nulls_first()).collect()]
     index = RepeatIndex(spark, listed)
     for n in numbers:
-        index.accept(rows.where(F.col("batch_no").eqNullSafe(F.lit(n))))
+        index.accept(rows.where(F.col("batch_no").eqNullSafe(F.lit(n))), str(n))
     index.close()
     later = rows.where(F.col("batch_no") > history).select(F.col("source_index").alias("source_index_b")).distinct()
     groups = index.groups().toDF("source_index_b", "source_index_a")

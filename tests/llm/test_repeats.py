@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import random
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
+from snaploom.llm import repeats
 from snaploom.llm.repeats import RepeatIndex, found_repeats, number_key
 
 COLUMNS = "source_index bigint, batch_no int, jurisdiction string, permit_date date, tracking_raw string, raw_apn string, formatted_apn string, street_address string, standard_address string, latitude string, longitude string, row bigint, step int, token bigint, place string"
@@ -74,3 +77,78 @@ def test_rows_alike_in_too_few_parts_are_no_copies_within_a_batch_either(spark,
     rows = [(10 * i + k, 2, apart[i] | more) for i, more in enumerate(alike + copies) for k in (1, 2)]
     got = found_repeats(rows_of(spark, rows), listed).collect()
     assert sorted(tuple(r) for r in got) == [(31, 32), (41, 42), (51, 52)]
+
+
+def test_a_later_session_goes_on_and_a_batch_given_again_changes_nothing(spark, listed, tmp_path):
+    path = f"file://{tmp_path}/index"
+    batches = {n: [c for c in CASES if c[1] == n] for n in (1, 2, 3, 4)}
+
+    def accept(index, n):
+        return sorted(tuple(r) for r in index.accept(rows_of(spark, batches[n]), f"batch {n}").collect())
+
+    first = RepeatIndex(spark, listed, path)
+    links = [accept(first, n) for n in (1, 2)]
+    first.close()
+    # what a session lost in the middle of a step leaves behind
+    first._open()
+    first._append("parts", spark.table(first._name("parts")).drop("step"))
+    first.close()
+    second = RepeatIndex(spark, listed, path)
+    assert second.steps == 2
+    links += [accept(second, 3), accept(second, 2), accept(second, 1)]
+    assert links[3] == links[1] and links[4] == links[0] and second.steps == 3
+    second.compact(buckets=2)
+    second.close()
+    third = RepeatIndex(spark, listed, path)
+    assert third.buckets == 2
+    accept(third, 4)
+    got = {(r.first, r.row) for r in third.groups().collect() if r.first < r.row}
+    assert got == WANT
+    third.close()
+
+
+def test_a_coordinate_of_many_records_pairs_up_few(spark, listed):
+    rows = [(i, 1 + i % 2, dict(permit_date=date(2010 + i % 10, 1 + i % 12, 1 + i % 28), tracking_raw=f"B{i % 30}-1{i:05d}", raw_apn=f"9{i:06d}", formatted_apn="", street_address=f"{i} Elm St", latitude="38.5", longitude="-121.5")) for i in range(1, 2001)]
+    index = RepeatIndex(spark, listed)
+    n = []
+    for b in (1, 2):
+        index.accept(rows_of(spark, [r for r in rows if r[1] == b]), str(b))
+        index.steps -= 1
+        n.append(index.candidates(index.steps).count())
+        index.steps += 1
+    assert sum(n) < 20_000 and index.groups().count() == 0
+    index.close()
+
+
+@pytest.mark.parametrize("rare", [1, 3, 64])
+def test_all_pairs_that_a_comparison_of_all_with_all_finds(spark, listed, monkeypatch, rare):
+    monkeypatch.setattr(repeats, "RARE", rare)
+    dice = random.Random(rare)
+    fields = dict(
+        jurisdiction=["Burdwick", "Peskvaldo", None], permit_date=[date(2024, 3, d) for d in (4, 5, 20)] + [None], tracking_raw=["B24-00017", "B24-00018", "B23-00444", ""], raw_apn=["123-456-789", "55-1", ""],
+        street_address=["100 N Heron St Unit 3", "100 Heron St Unit 3", "100 N Herno St #3", "100 N Heron St", "Heron Street", "", "7 Elm Ct"], latitude=["38.5", ""], longitude=["-121.5"],
+    )
+    rows = [(i, 1 + i % 4, {k: dice.choice(v) for k, v in fields.items()} | {"formatted_apn": ""}) for i in range(160)]
+    index = RepeatIndex(spark, listed)
+    links = []
+    for b in (1, 2, 3, 4):
+        links += [tuple(r) for r in index.accept(rows_of(spark, [r for r in rows if r[1] == b]), str(b)).collect()]
+    parts = index._table("parts").where(repeats.LONG_ENOUGH)
+    a, b = (parts.selectExpr(*[f"{c} as {x}_{c}" for c in repeats.COLUMNS]) for x in "ab")
+    want = {tuple(r) for r in a.join(b, F.col("a_row") < F.col("b_row")).where(repeats.REPEATS).select("a_row", "b_row").collect()}
+    index.close()
+    assert set(links) <= want and want
+
+    def groups(pairs):
+        home = {}
+
+        def find(n):
+            while home.setdefault(n, n) != n:
+                n = home[n]
+            return n
+
+        for x, y in pairs:
+            home[max(find(x), find(y))] = min(find(x), find(y))
+        return {n: find(n) for n in home}
+
+    assert groups(links) == groups(want)
