@@ -3,10 +3,12 @@
 A multi-pattern automaton holds the names and their aliases, with word ends.
 It finds the mentions in a typed value; of those, the longest that don't
 overlap win. If what is left over only frames a name (``City of``, a state, the
-place's own county), the mention decides. Values without such a mention go to
+place's own county), the mention decides. Other values go to
 token-set similarity: their tokens, spelled out, are held against each entry's
-tokens, allowing for a few wrong, missing, doubled or swapped letters. Each
-distinct value is worked out once in a worker.
+tokens in any order, allowing for a few wrong, missing, doubled or swapped letters, and so are
+the tokens run together, for words joined or split. What is similar to no entry
+denotes the one mentioned in it after all, unless a word left over makes another
+name of it, as Heights does of Convey. Each distinct value is worked out once in a worker.
 
 Defined results: null and blank values have no result; values that name nothing
 listed, or several entries equally well, get ``NONE``; the list is checked
@@ -44,6 +46,8 @@ SHORT = {
 # fixed values: words around a name that say nothing about which place it is, and words that mean a county's own territory
 FRAME = ("CITY", "TOWN", "OF", "THE", "CA", "CALIFORNIA")
 TERRITORY = ("UNINCORPORATED", "UNINCORP", "UNINC", "AREA", "AREAS")
+# fixed values: further words that make a longer name of another place
+NAMING = ("NEW", "OLD", "UPPER", "LOWER", "EL", "LA", "LOS", "LAS", "SAN", "SANTA", "VILLAGE", "HILL", "HILLS", "BEACH", "PARK", "CREEK", "RIVER", "ISLAND", "BAY", "CANYON", "RANCH", "ESTATES", "GARDENS", "LAKES", "OAKS", "MESA", "POINT", "RIDGE", "VISTA", "TOWNSHIP", "CORNERS", "FALLS", "HOT")
 LONG = {s: w for w, shorts in SHORT.items() for s in shorts}
 
 
@@ -77,7 +81,7 @@ def edits(a: str, b: str, most: int) -> int:
 
 def allowed(length: int) -> int:
     """Edits that a name of so many letters may have."""
-    return 1 if length <= 5 else 2 if length <= 13 else 3
+    return 1 if length <= 5 else 2
 
 
 @dataclass(frozen=True)
@@ -112,6 +116,18 @@ class Matcher:
             for whole in {"".join((*tokens[:-1], end)) for end in ends}:
                 for cut in _shortened(whole, 2):
                     self.near[cut].add((whole, key))
+        #: the entries of each word, and the words that a mistyped one may be
+        self.having: dict[str, set[str]] = defaultdict(set)
+        self.words: dict[str, set[str]] = defaultdict(set)
+        for key, tokens in self.tokens.items():
+            for t in tokens:
+                self.having[t].add(key)
+        for t in self.having:
+            for cut in _shortened(t, allowed(len(t))):
+                self.words[cut].add(t)
+        self.longest = max((len("".join(t)) for t in self.tokens.values()), default=0)
+        #: words that belong to names of places: general ones and those of several entries
+        self.naming = {*SHORT, *NAMING, *(t for t, keys in self.having.items() if len(keys) > 2)}
         self.known: dict[str, str] = {}
 
     def _aliases(self, tokens: tuple[str, ...]) -> set[str]:
@@ -147,16 +163,30 @@ class Matcher:
     def _resolve(self, text: str) -> str:
         tokens = fold(text)
         found, rest = self._mentions(tokens)
-        if found and all(t in FRAME or t in TERRITORY for t in rest):
-            if len(set(found)) == 1:
-                return self._territory(found[0], rest)
-            # a city followed by its county
-            cities = [k for k in found if not self.entries[k].unincorporated]
-            others = [k for k in found if self.entries[k].unincorporated]
-            if len(set(cities)) == 1 and all(self.counties[cities[0]] == self.counties[k] for k in others):
-                return cities[0]
-            return NONE
-        return self._similar(tokens)
+        framed = all(t in FRAME or t in TERRITORY for t in rest)
+        if found and framed:
+            return self._mentioned(found, rest)
+        similar = self._similar(tokens)
+        if similar != NONE or not found or any(self._names(t) for t in rest):
+            return similar
+        # a county set off from other words says where a place is that isn't listed
+        set_off = all(self.entries[k].unincorporated for k in found) and re.search(r"\w\W*[,(;/]", text)
+        return NONE if set_off else self._mentioned(found, rest)
+
+    def _mentioned(self, found: list[str], rest: list[str]) -> str:
+        if len(set(found)) == 1:
+            return self._territory(found[0], rest)
+        # a city followed by its county
+        cities = [k for k in found if not self.entries[k].unincorporated]
+        others = [k for k in found if self.entries[k].unincorporated]
+        if len(set(cities)) == 1 and all(self.counties[cities[0]] == self.counties[k] for k in others):
+            return cities[0]
+        return NONE
+
+    def _names(self, token: str) -> bool:
+        """Whether a word beside a mention makes it part of another name."""
+        word = LONG.get(token, token)
+        return word in self.naming or (4 < len(word) <= self.longest + 1 and any(_is(word, w, 1) for w in self.naming if len(w) > 4))
 
     def _territory(self, key: str, rest: list[str]) -> str:
         """A city's name marked as unincorporated territory means the county of that name."""
@@ -171,10 +201,12 @@ class Matcher:
         if not kept:
             return NONE
         county = any(_is(t, "COUNTY", 1) for t in kept) or any(t in TERRITORY for t in spelled)
-        best: dict[str, int] = {}
+        best = self._by_tokens(["COUNTY" if _is(t, "COUNTY", 1) else t for t in kept] + ["COUNTY"] * (county and not any(_is(t, "COUNTY", 1) for t in kept)))
         for core in self._cores(spelled, kept, county):
             whole = "".join(core)
-            most = min(2, allowed(len(whole)))
+            if len(whole) > self.longest + 2:
+                continue
+            most = allowed(len(whole))
             close = set().union(*(self.near.get(cut, ()) for cut in _shortened(whole, most)))
             for name, key in close:
                 d = edits(whole, name, most)
@@ -187,6 +219,35 @@ class Matcher:
         winners = [k for k, d in agreed.items() if d == least]
         return winners[0] if len(winners) == 1 else NONE
 
+    def _by_tokens(self, kept: list[str]) -> dict[str, int]:
+        """Edits of the entries all of whose tokens are among the value's, whatever their order.
+
+        What is left of the value may only be the entry's county, or words that name no place beside an entry of several words.
+        """
+        close: dict[str, dict[int, int]] = defaultdict(dict)
+        for i, t in enumerate(kept):
+            if len(t) <= self.longest + 2:
+                for w in set().union(*(self.words.get(cut, ()) for cut in ({t} if t in SHORT or t in LONG else _shortened(t, allowed(len(t)))))):
+                    d = edits(t, w, allowed(len(w)))
+                    if d <= allowed(len(w)):
+                        close[w][i] = d
+        found: dict[str, int] = {}
+        for key in set().union(*(self.having[w] for w in close)):
+            used: dict[int, int] = {}
+            for w in sorted(self.tokens[key], key=lambda w: (len(close.get(w, ())), w)):
+                free = [(d, i) for i, d in close.get(w, {}).items() if i not in used]
+                if not free:
+                    break
+                d, i = min(free)
+                used[i] = d
+            else:
+                rest = [t for i, t in enumerate(kept) if i not in used]
+                own_county = bool(rest) and set(rest) == {*self.counties[key], "COUNTY"}
+                beside = len(used) > 1 and not self.entries[key].unincorporated and not any(self._names(t) for t in rest)
+                if sum(used.values()) <= 2 and (not rest or own_county or beside):
+                    found[key] = sum(used.values())
+        return found
+
     def _cores(self, spelled: list[str], kept: list[str], county: bool) -> list[list[str]]:
         """What may be the name among the tokens: with and without its frame and its county."""
         cores = [kept]

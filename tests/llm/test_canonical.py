@@ -26,6 +26,21 @@ def test_resolve(matcher, typed, key):
     assert matcher.resolve(typed) == key
 
 
+MORE = [*LIST, ("ELK GROVE", "Elk Grove", "Sacra", False), ("SANTA ANA", "Santa Ana", "Orange", False), ("SAN JOSE", "San Jose", "Clara", False)]
+
+
+@pytest.mark.parametrize(
+    ("typed", "key"),
+    [
+        ("Elk Grove Planning Dept", "ELK GROVE"), ("ELK GROVE 95624", "ELK GROVE"), ("Building Division Elk Grove", "ELK GROVE"), ("Elk Grove USA", "ELK GROVE"), ("Convey Planning", "CONVEY"), ("Planning Division of Luldward County", "LULDWARD COUNTY"),
+        ("Grove Elk", "ELK GROVE"), ("Ana Santa", "SANTA ANA"), ("Jose, San", "SAN JOSE"), ("Medows Juspant", "JUSPANT MEADOWS"), ("Grvoe, Elk Planning Dept", "ELK GROVE"), ("Juspnat Medows, Luldward County", "JUSPANT MEADOWS"),
+        ("Elk Grove Village", NONE), ("West Elk Grove", NONE), ("Elk Creek", NONE), ("Santa Rosa", NONE), ("Convey Heights", NONE), ("Convey Hieghts", NONE), ("Fooville (Luldward County)", NONE), ("Elk Grove / San Jose", NONE), ("Yatish Harbor", NONE), ("xylophone abc def ghi " * 2000, NONE),
+    ],
+)
+def test_mentions_among_other_words_and_words_in_any_order(typed, key):
+    assert Matcher([Entry(*e) for e in MORE]).resolve(typed) == key
+
+
 def test_edits():
     def plain(a, b):
         d = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
