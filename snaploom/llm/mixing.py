@@ -3,12 +3,12 @@
 The largest mixture is built in which every source can have its share, no text
 being used more often than its source allows. It is cut into blocks of equal
 tokens, and the blocks go to the sources by Sainte-Lague's highest quotients.
-Each source is spread over shards by a seeded hash, and its blocks go to its
-shards in the same way, by the tokens that each shard holds. A shard then takes
-whole texts in seeded order up to its quota; no prefix sum spans more than a
-shard, and a source has one shard for ``SHARD_TOKENS`` of its tokens, so that a
-source with a third of all texts is no single task. Only totals by source and shard reach the
-driver, at most ``MOST_SHARDS`` for each target.
+Each source is spread over shards by a seeded hash, one for ``SHARD_TOKENS`` of
+its tokens however many that makes, so that a source with a third of all texts is no single task.
+Its blocks, cut small enough for shards, go to its shards by the highest
+quotients of the tokens that each holds; what a shard can't hold goes to the others, to the token. A shard then takes
+whole texts in seeded order up to its quota; no prefix sum over texts spans more than a
+shard. Only totals by source reach the driver.
 
 Defined results: a text that a source repeats counts as one text, represented
 by its smallest doc_id, and is never used more than ``max_repeats`` times; null
@@ -31,7 +31,8 @@ from snaploom.storage import saved
 
 BLOCKS = 10_000
 SHARD_TOKENS = 5_000_000
-MOST_SHARDS = 4096
+#: Blocks that a shard is cut into at least.
+SHARD_BLOCKS = 1000
 MOST_TARGETS = 10_000
 SEED = 20_251
 
@@ -69,7 +70,28 @@ def distinct_texts(documents: DataFrame, tokenizers: str = TOKENIZERS) -> DataFr
     return counted.groupBy("source", "print").agg(F.min("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens")).select("doc_id", "source", "n_tokens")
 
 
-def mixture(documents: DataFrame, targets: DataFrame, blocks: int = BLOCKS, seed: int = SEED, tokenizers: str = TOKENIZERS) -> tuple[DataFrame, DataFrame]:
+def shard_quotas(totals: DataFrame, rests: DataFrame) -> DataFrame:
+    """(of_source, of_shard, rounds, quota): each source's rest of tokens, apportioned to its shards.
+
+    ``totals`` has (source, shard, held); ``rests`` has (of_source, rounds, rest, block), a rest being at most what
+    the source holds. Every shard gets the blocks that its proportion gives for certain, and the highest next quotients
+    get one more each; tokens that would exceed a shard's own go to the others.
+    """
+    of = W.partitionBy("source")
+    seats = F.floor(F.col("rest") / F.col("block"))
+    each = totals.join(rests, F.col("source") == F.col("of_source"))
+    each = each.withColumn("sure", F.least(F.expr("cast(rest div block as decimal(19, 0)) * cast(held as decimal(19, 0)) div sum(held) over (partition by source)"), F.expr("held div block")))
+    each = each.withColumn("open", seats - F.sum("sure").over(of)).withColumn("fits", F.expr("(sure + 1) * block <= held"))
+    next_quotient = F.col("held") / (2 * F.col("sure") + 1)
+    turn = F.row_number().over(of.orderBy(F.col("fits").desc(), next_quotient.desc(), "shard"))
+    each = each.withColumn("turn", turn).withColumn("whole", F.expr("(sure + int(fits and turn <= open)) * block"))
+    each = each.withColumn("short", F.col("rest") - F.sum("whole").over(of)).withColumn("spare", F.col("held") - F.col("whole"))
+    before = F.coalesce(F.sum("spare").over(of.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    quota = F.col("whole") + F.least(F.col("spare"), F.greatest(F.lit(0), F.col("short") - before))
+    return each.select("of_source", F.col("shard").alias("of_shard"), "rounds", quota.cast("bigint").alias("quota"))
+
+
+def mixture(documents: DataFrame, targets: DataFrame, blocks: int = BLOCKS, seed: int = SEED, tokenizers: str = TOKENIZERS, shard_tokens: int = SHARD_TOKENS) -> tuple[DataFrame, DataFrame]:
     """The mixture (doc_id, source, n_tokens, uses), and the report of shares by source."""
     spark = documents.sparkSession
     texts = saved(distinct_texts(documents, tokenizers), "texts")
@@ -78,15 +100,9 @@ def mixture(documents: DataFrame, targets: DataFrame, blocks: int = BLOCKS, seed
         raise ValueError(f"over {MOST_TARGETS} targets")
     wanted = {r[0]: (r[1], r[2]) for r in wanted if (r[1] or 0) > 0 and (r[2] or 0) > 0}
     used = texts.where(F.col("source").isin(*sorted(wanted)) if wanted else F.lit(False))
-    shards = used.groupBy(F.col("source").alias("in_source")).agg(F.greatest(F.lit(1), F.least(F.lit(MOST_SHARDS), F.expr(f"sum(n_tokens) div {SHARD_TOKENS}"))).alias("shards"))
-    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("shards")).cast("int")
-    used = used.join(shards, F.col("source") == F.col("in_source")).select("doc_id", "source", "n_tokens", place.alias("shard"))
-    held: dict[str, dict[int, int]] = {}
-    for source, shard, n in used.groupBy("source", "shard").agg(F.sum("n_tokens")).collect():
-        held.setdefault(source, {})[shard] = n
-    have = {s: sum(h.values()) for s, h in held.items() if sum(h.values())}
+    have = {r[0]: r[1] for r in used.groupBy("source").agg(F.sum("n_tokens")).collect() if r[1]}
     names = sorted(have)
-    quotas = []
+    rests = []
     if names:
         share = {s: wanted[s][0] / sum(wanted[x][0] for x in names) for s in names}
         total = min(have[s] * wanted[s][1] / share[s] for s in names)
@@ -96,10 +112,11 @@ def mixture(documents: DataFrame, targets: DataFrame, blocks: int = BLOCKS, seed
             rounds, rest = divmod(n * block, have[s])
             if rounds >= wanted[s][1]:
                 rounds, rest = wanted[s][1], 0
-            at = sorted(held[s])
-            parts = highest_quotients([held[s][h] for h in at], round(rest / block), [-(-held[s][h] // block) for h in at])
-            quotas += [(s, h, int(rounds), min(q * block, held[s][h])) for h, q in zip(at, parts)]
-    quota = spark.createDataFrame(quotas, "of_source string, of_shard int, rounds int, quota bigint")
+            rests.append((s, max(1, have[s] // shard_tokens), int(rounds), int(rest), max(1, min(block, shard_tokens // SHARD_BLOCKS))))
+    rests = spark.createDataFrame(rests, "of_source string, shards bigint, rounds int, rest bigint, block bigint")
+    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("shards"))
+    used = used.join(rests, F.col("source") == F.col("of_source")).select("doc_id", "source", "n_tokens", place.alias("shard"))
+    quota = shard_quotas(used.groupBy("source", "shard").agg(F.sum("n_tokens").alias("held")), rests.drop("shards"))
     order = W.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = used.join(quota, (F.col("source") == F.col("of_source")) & (F.col("shard") == F.col("of_shard"))).withColumn("reach", F.sum("n_tokens").over(order))
     # whole texts while they fit; then the one other text that comes nearest to what is left of the quota
@@ -115,9 +132,13 @@ def mixture(documents: DataFrame, targets: DataFrame, blocks: int = BLOCKS, seed
 
 
 def _report(mixed: DataFrame, texts: DataFrame, targets: DataFrame) -> DataFrame:
+    """What each source should and does contribute; ``due_share`` is its target among the sources that have texts."""
     goal = targets.where("source_name is not null").groupBy(F.col("source_name").alias("source")).agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     there = texts.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
     got = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("mixed_tokens"), F.max("uses").alias("most_uses"))
     joined = goal.join(there, "source", "full").join(got, "source", "left").na.fill(0, ["available_tokens", "mixed_tokens", "most_uses"])
-    whole = F.sum("mixed_tokens").over(W.partitionBy())
-    return joined.withColumn("actual_share", F.coalesce(F.try_divide("mixed_tokens", whole), F.lit(0.0)))
+    # one row for each source, so this is small
+    every = W.partitionBy()
+    due = F.when((F.col("target_share") > 0) & (F.col("max_repeats") > 0) & (F.col("available_tokens") > 0), F.col("target_share")).otherwise(0.0)
+    shares = [F.coalesce(F.try_divide(c, F.sum(c).over(every)), F.lit(0.0)) for c in (F.col("due"), F.col("mixed_tokens"))]
+    return joined.withColumn("due", due).withColumn("due_share", shares[0]).withColumn("actual_share", shares[1]).drop("due")
