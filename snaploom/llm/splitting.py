@@ -10,7 +10,7 @@ A piece that starts or ends inside a word is encoded again, and shortened
 should its own tokens be more than the limit.
 
 Defined results: null, blank and short texts, and those of sources without a
-limit, give no pieces; a null limit is none; any overlap below the limit is
+limit, give no pieces; a null limit is none, and of several limits of a source the smallest counts; any overlap below the limit is
 kept, and a longer one is one token less than it, so that every piece adds text;
 the limit goes before the overlap where both can't be had, as a piece from
 inside a word may have more tokens of its own; all pieces together cover
@@ -197,7 +197,7 @@ def pieces(documents: DataFrame, limits: DataFrame, tokenizers: str = TOKENIZERS
                 out = [part.column("doc_id").take(pa.array(keys, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, types))]
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", *(f.split()[0] for f in SCHEMA.split(", "))])
 
-    limit = limits.select(F.col("source_name").alias("of_source"), "max_tokens", "overlap_tokens").where("of_source is not null").dropDuplicates(["of_source"])
+    limit = limits.select(F.col("source_name").alias("of_source"), F.struct("max_tokens", "overlap_tokens").alias("bound")).where("of_source is not null and bound.max_tokens is not null").groupBy("of_source").agg(F.min("bound").alias("bound")).select("of_source", "bound.*")
     rows = documents.select("doc_id", "source", "text").join(limit, F.col("source") == F.col("of_source")).select("doc_id", "source", "max_tokens", "overlap_tokens", "text")
     # a text never has more tokens than bytes: shorter ones need no look
     long_enough = rows.where(F.octet_length("text") > F.col("max_tokens"))
