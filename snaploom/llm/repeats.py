@@ -164,25 +164,36 @@ def _token(*kinds: str) -> str:
 LONG_ENOUGH = f"{' + '.join(f'int({v} is not null)' for v in VALUES.values())} >= {OVERLAP}"
 
 
-def postings(parts: DataFrame, fresh: bool = True, about: str | None = None) -> DataFrame:
-    """A record's postings: its rare tokens, and the threes of its frequent ones.
-
-    ``often`` has the kinds of SELECTIVE whose token is frequent in the record;
-    the column ``about`` restricts the threes to those with one of some kinds.
-    """
-    found = [f"named_struct('token', if(array_contains(often, '{k}'), null, {_token(k)}), 'with_bare', {k == 'parcel'}, 'single', true)" for k in SELECTIVE] if about is None else []
-    for kinds, with_bare in THREES:
-        wanted = [f"array_contains(often, '{k}')" for k in kinds if k in SELECTIVE]
-        if about is not None:
-            wanted.append(f"arrays_overlap({about}, array({', '.join(map(repr, kinds))}))")
-        found.append(f"named_struct('token', if({' and '.join(wanted) or 'true'}, {_token(*kinds)}, null), 'with_bare', {with_bare}, 'single', false)")
+def _posted(parts: DataFrame, found: list[str], fresh: bool) -> DataFrame:
     marks = [f"smallint(if({v} is null, null, pmod(hash({v}), 32768))) as m_{k}" for k, v in VALUES.items()]
     each = parts.where(LONG_ENOUGH).selectExpr("row", "street is null as bare", *marks, f"inline(array({', '.join(found)}))").where("token is not null")
     return each.selectExpr("token", "row", "bare", "with_bare", "single", f"{str(fresh).lower()} as fresh", *[f"m_{k}" for k in BASE])
 
 
-def _repeats() -> str:
-    """Whether the parts of ``a_`` and ``b_`` columns are those of one permit.
+def postings(parts: DataFrame) -> DataFrame:
+    """The postings of every record: its tokens that may be rare, and the threes of those that never are."""
+    found = [f"named_struct('token', {_token(k)}, 'with_bare', {k == 'parcel'}, 'single', true)" for k in SELECTIVE]
+    found += [f"named_struct('token', {_token(*kinds)}, 'with_bare', {with_bare}, 'single', false)" for kinds, with_bare in THREES if not {*kinds} & {*SELECTIVE}]
+    return _posted(parts, found, True)
+
+
+def threes(parts: DataFrame, fresh: bool, about: str = "often") -> DataFrame:
+    """The further postings of records with frequent tokens: the threes that have one.
+
+    The array ``often`` has the kinds of SELECTIVE whose token is frequent in the
+    record; another one, ``about``, the kinds of which the threes must have one.
+    """
+    found = []
+    for kinds, with_bare in THREES:
+        selective = [k for k in kinds if k in SELECTIVE]
+        if selective:
+            wanted = [f"array_contains(often, '{k}')" for k in selective] + [f"arrays_overlap({about}, array({', '.join(map(repr, selective))}))"]
+            found.append(f"named_struct('token', if({' and '.join(wanted)}, {_token(*kinds)}, null), 'with_bare', {with_bare}, 'single', false)")
+    return _posted(parts, found, fresh)
+
+
+def _repeats(itself: bool = False) -> str:
+    """Whether the parts of ``a_`` and ``b_`` columns are those of one permit; or of a record and its like, by the record's own columns.
 
     One of place, day, number and site may be wrong or missing if the others
     agree. Without an address the parcel stands for the site; where the number
@@ -192,18 +203,18 @@ def _repeats() -> str:
     """
 
     def same(part: str) -> str:
-        return f"coalesce(a_{part} = b_{part}, false)"
+        return f"({part} is not null)" if itself else f"coalesce(a_{part} = b_{part}, false)"
 
     def gap(part: str) -> str:
-        return f"(a_{part} is null or b_{part} is null)"
+        return f"({part} is null)" if itself else f"(a_{part} is null or b_{part} is null)"
 
     place, day, number, parcel, point = map(same, ("place", "day", "number", "parcel", "point"))
     loose = " and ".join(f"({gap(p)} or a_{p} = b_{p})" for p in ("direction", "kind"))
-    address = f"(a_house <=> b_house and a_unit <=> b_unit and {loose} and coalesce(levenshtein(a_street, b_street, 2) >= 0, false))"
+    address = same("street") if itself else f"(a_house <=> b_house and a_unit <=> b_unit and {loose} and coalesce(levenshtein(a_street, b_street, 2) >= 0, false))"
     bare = gap("street")
     site = f"({address} or ({bare} and ({parcel} or ({point} and {gap('parcel')}))))"
-    close_day = f"({gap('day')} or abs(datediff(a_day, b_day)) <= {NEAR_DAYS})"
-    close_number = f"({gap('number')} or levenshtein(a_number, b_number, 1) >= 0)"
+    close_day = "true" if itself else f"({gap('day')} or abs(datediff(a_day, b_day)) <= {NEAR_DAYS})"
+    close_number = "true" if itself else f"({gap('number')} or levenshtein(a_number, b_number, 1) >= 0)"
     ways = (
         f"{place} and {day} and {number}",
         f"{place} and {day} and ({address} or ({site} and {point}))",
@@ -215,7 +226,7 @@ def _repeats() -> str:
     return " or ".join(f"({w})" for w in ways)
 
 
-REPEATS = _repeats()
+REPEATS, REPEATS_ITSELF = _repeats(), _repeats(itself=True)
 
 
 class RepeatIndex:
@@ -232,7 +243,7 @@ class RepeatIndex:
         self.temporary = path is None
         self.path = (path or new_path(spark, "repeats")).rstrip("/")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.generation = self.steps = self.commits = 0
+        self.generation = self.steps = self.commits = self.counted = 0
         self.batches: dict[str, int] = {}
         self._read_manifest()
         self._open()
@@ -252,11 +263,11 @@ class RepeatIndex:
         if last:
             told = json.loads(self.spark.read.text(f"{self.path}/manifest/{last}", wholetext=True).first()[0])
             self.commits = int(last.removesuffix(".json")) + 1
-            self.buckets, self.generation, self.steps, self.batches = (told[k] for k in ("buckets", "generation", "steps", "batches"))
+            self.buckets, self.generation, self.steps, self.counted, self.batches = (told[k] for k in ("buckets", "generation", "steps", "counted", "batches"))
 
     def _commit(self) -> None:
         """Writes the next manifest under another name and renames it, which it does once or not at all."""
-        told = {"buckets": self.buckets, "generation": self.generation, "steps": self.steps, "batches": self.batches}
+        told = {"buckets": self.buckets, "generation": self.generation, "steps": self.steps, "counted": self.counted, "batches": self.batches}
         name = f"{self.path}/manifest/{self.commits:08d}"
         out = self._fs().create(self._at(f"{name}.part"), True)
         try:
@@ -285,35 +296,40 @@ class RepeatIndex:
         return self.spark.table(self._name(what)).where(F.col("step") <= self.steps)
 
     def _append(self, what: str, rows: DataFrame) -> None:
-        key = self.TABLES[what][1]
-        rows.repartition(self.buckets, key).withColumn("step", F.lit(self.steps)).write.insertInto(self._name(what))
+        # the step is no column of the rows, so that the code generated for them is the same in every step
+        placed = rows.repartition(self.buckets, self.TABLES[what][1])
+        self.spark.sql(f"INSERT INTO {self._name(what)} PARTITION (step = {self.steps}) SELECT * FROM {{placed}}", placed=placed)
 
-    def _frequent(self, more: Sequence[str] = ()) -> DataFrame | None:
-        """(kind, token) of the tokens that more than RARE records hold; none if there is no such token."""
+    def _frequent(self) -> DataFrame | None:
+        """(token) of the tokens that are frequent by now; none if there is no such token."""
         folder = self._at(f"{self.path}/frequent")
-        done = [f.getPath().getName() for f in self._fs().listStatus(folder)] if self._fs().exists(folder) else []
-        names = {n for n in done if int(n.split("-")[0]) < self.steps} | set(more)
-        return self.spark.read.schema("token bigint").parquet(*[f"{self.path}/frequent/{n}" for n in sorted(names)]) if names else None
-
-    def _with_often(self, parts: DataFrame, frequent: DataFrame | None) -> DataFrame:
-        """Adds the kinds whose token is frequent in the record."""
-        if frequent is None:
-            return parts.withColumn("often", F.array().cast("array<string>"))
+        names = [f.getPath().getName() for f in self._fs().listStatus(folder)] if self._fs().exists(folder) else []
+        names = sorted(n for n in names if int(n.split("-")[0]) <= self.steps)
+        return self.spark.read.schema("token bigint").parquet(*[f"{self.path}/frequent/{n}" for n in names]) if names else None
+
+    def _with_often(self, parts: DataFrame, tokens: DataFrame, name: str) -> DataFrame:
+        """Adds the kinds whose token is one of ``tokens``."""
+        hits = tokens.selectExpr("token as asked", "true as hit")  # one small table for all three joins
         for k in SELECTIVE:
-            parts = parts.withColumn("asked", F.expr(_token(k))).join(frequent.distinct().toDF("asked").withColumn(f"often_{k}", F.lit(k)), "asked", "left").drop("asked")
-        each = [F.col(f"often_{k}") for k in SELECTIVE]
-        return parts.withColumn("often", F.array_compact(F.array(*each))).drop(*[f"often_{k}" for k in SELECTIVE])
-
-    def _promote(self, tokens: DataFrame, name: str, before: DataFrame | None) -> bool:
-        """Makes tokens frequent, and indexes the accepted records that hold them by their threes."""
-        if tokens.isEmpty():
-            return False
-        new = saved(tokens.select("token").distinct(), "frequent", f"{self.path}/frequent/{name}")
-        held = self._table("postings").where("single").join(new, "token", "left_semi").select("row").distinct()
-        after = new if before is None else before.unionAll(new)
-        again = self._with_often(self._table("parts").join(held, "row", "left_semi").select(*COLUMNS), new).withColumnRenamed("often", "now_often")
-        self._append("postings", postings(self._with_often(again, after), False, "now_often"))
-        return True
+            parts = parts.withColumn("asked", F.expr(_token(k))).join(hits, "asked", "left").drop("asked").withColumnRenamed("hit", f"hit_{k}")
+        return parts.withColumn(name, F.array_compact(F.array(*[F.expr(f"if(hit_{k}, '{k}', null)") for k in SELECTIVE]))).drop(*[f"hit_{k}" for k in SELECTIVE])
+
+    def _holding(self, tokens: DataFrame, steps: str) -> DataFrame:
+        """The parts of the records that hold one of the tokens."""
+        rows = self._table("postings").where(f"single and {steps}").join(tokens, "token", "left_semi").select("row").distinct()
+        return self._table("parts").where(steps).join(rows, "row", "left_semi").select(*COLUMNS)
+
+    def _promote(self, counted: DataFrame, name: str, steps: str) -> None:
+        """Makes tokens frequent that more than RARE records hold, and indexes the records of some steps that hold them by their threes."""
+        frequent = self._frequent()
+        often = counted.groupBy("token").agg(F.count("*").alias("n")).where(f"n > {RARE}").select("token")
+        new = saved(often if frequent is None else often.join(frequent, "token", "left_anti"), "frequent", f"{self.path}/new/{name}")
+        if new.isEmpty():
+            return
+        saved(new, "frequent", f"{self.path}/frequent/{name}")
+        if self.steps:
+            held = self._with_often(self._holding(new, steps), new, "now_often")
+            self._append("postings", threes(self._with_often(held, self._frequent(), "often"), False, "now_often"))
 
     def accept(self, batch: DataFrame, name: str | None = None) -> DataFrame:
         """Checks a batch against all accepted rows and itself, and adds it; gives its (a, b) links, a < b.
@@ -322,36 +338,33 @@ class RepeatIndex:
         """
         if name is not None and name in self.batches:
             return self._links(self.batches[name])
-        step = self.steps
+        step, here = self.steps, f"step = {self.steps}"
         for what in self.TABLES:  # what a lost session left of this step
             remove(self.spark, f"{self._folder(what)}/step={step}")
-        for n in "ab":
-            remove(self.spark, f"{self.path}/frequent/{step}-{n}")
+        remove(self.spark, f"{self.path}/frequent/{step}-a")
+        remove(self.spark, f"{self.path}/frequent/{step}-b")
         self._append("parts", read_parts(batch, self.entries))
-        parts = self._table("parts").where(f"step = {step}").select(*COLUMNS)
+        parts = self._table("parts").where(here).select(*COLUMNS)
         # records alike share the hash of all parts and a second one as check; the aggregate sends one row per task for a hot one.
         # Records that aren't copies of one another though alike, such as siblings on a parcel, go through the index.
-        signs = [f"xxhash64({seed}, {', '.join(f'coalesce(string({c}), chr(0))' for c in COLUMNS[1:])})" for seed in (1, 2)]
-        paired = parts.where(LONG_ENOUGH).selectExpr(*COLUMNS, *[f"{c} as {x}_{c}" for x in "ab" for c in COLUMNS])
-        keyed = paired.selectExpr("row", f"if({REPEATS}, {signs[0]}, null) as sign", f"{signs[1]} as check", *[f"{_token(k)} as t_{k}" for k in SELECTIVE])
-        keys = ", ".join(f"named_struct('kind', 'token', 'key', t_{k}, 'check', 0L)" for k in SELECTIVE)
-        groups = keyed.selectExpr("row", f"inline(array(named_struct('kind', 'copy', 'key', sign, 'check', check), {keys}))").where("key is not null").groupBy("kind", "key", "check").agg(F.min("row").alias("first"), F.count("*").alias("n"))
-        groups = saved(groups.where(f"n > if(kind = 'copy', 1, {RARE})"), "groups", f"{self.path}/groups/{step}")
-        twice = groups.where("kind = 'copy'").select(F.col("key").alias("sign"), "check", "first")
-        copies = keyed.join(twice, ["sign", "check"]).where("row <> first").select(F.col("first").alias("a"), F.col("row").alias("b"))
-        copies = saved(copies, "copies", f"{self.path}/copies/{step}")
+        signs = [f"xxhash64({seed}, {', '.join(f'coalesce(string({c}), chr(0))' for c in COLUMNS[1:])}) as sign{seed}" for seed in (1, 2)]
+        signed = parts.where(f"{LONG_ENOUGH} and ({REPEATS_ITSELF})").selectExpr("row", *signs)
+        twice = signed.groupBy("sign1", "sign2").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        copies = saved(signed.join(twice, ["sign1", "sign2"]).where("row <> first").selectExpr("first as a", "row as b"), "copies", f"{self.path}/copies/{step}")
+        self._append("postings", postings(parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti")))
+        singles = self._table("postings").where("single")
+        self._promote(singles.where(here).select("token"), f"{step}-a", f"step < {step}")
         frequent = self._frequent()
-        hot = groups.where("kind = 'token'").select(F.col("key").alias("token"))
         if frequent is not None:
-            hot = hot.join(frequent, "token", "left_anti")
-        if self._promote(hot, f"{step}-a", frequent):
-            frequent = self._frequent([f"{step}-a"])
-        self._append("postings", postings(self._with_often(parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti"), frequent)))
+            self._append("postings", threes(self._with_often(self._holding(frequent, here), frequent, "often"), True))
         saved(self._verified(step), "links", f"{self.path}/links/{step}")
-        discard(groups)
-        # tokens that have become frequent by adding up
-        held = self._table("postings").where("single").groupBy("token").agg(F.count("*").alias("n")).where(f"n > {RARE}").select("token")
-        self._promote(held if frequent is None else held.join(frequent, "token", "left_anti"), f"{step}-b", frequent)
+        # tokens become frequent by adding up too; counting them all each time the index has grown by half is enough, as this changes no result
+        rows = self._table("parts").count()
+        if not step:
+            self.counted = rows
+        elif 2 * rows > 3 * self.counted:
+            self.counted = rows
+            self._promote(singles.select("token"), f"{step}-b", f"step <= {step}")
         if name is not None:
             self.batches[name] = step
         self.steps += 1
@@ -360,12 +373,14 @@ class RepeatIndex:
 
     def candidates(self, step: int) -> DataFrame:
         """(b, a): a record of the step and one accepted before, or before it in the step, that share enough tokens."""
-        index = self._table("postings")
+        index, frequent = self._table("postings"), self._frequent()
         marks = [f"m_{k}" for k in BASE]
-        own = index.where(f"step = {step} and fresh").select("token", "row", "bare", *marks)
-        other = index.selectExpr("token", "row as row2", "bare as bare2", "with_bare", f"step = {step} as new2", *[f"{m} as {m}2" for m in marks])
+        own = index.where(f"step = {step} and fresh").select("token", "row", "bare", F.col("step").alias("at"), *marks)
+        if frequent is not None:  # their threes are asked for instead
+            own = own.join(frequent, "token", "left_anti")
+        other = index.selectExpr("token", "row as row2", "bare as bare2", "with_bare", "step", *[f"{m} as {m}2" for m in marks])
         shared = " + ".join(f"coalesce(int({m} = {m}2), 0)" for m in marks)
-        met = own.join(other, "token").where(f"row2 <> row and (not new2 or row2 < row) and (not with_bare or bare or bare2) and {shared} >= {OVERLAP}")
+        met = own.join(other, "token").where(f"row2 <> row and (step < at or row2 < row) and (not with_bare or bare or bare2) and {shared} >= {OVERLAP}")
         return met.selectExpr("row as b", "row2 as a").distinct()
 
     def _verified(self, step: int) -> DataFrame:
