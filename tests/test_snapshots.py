@@ -5,7 +5,7 @@ from datetime import date
 
 import pytest
 
-from snaploom.plans.snapshots import Columns, deduplicated, grow, settle
+from snaploom.plans.snapshots import Columns, decisions, deduplicated, grow, settle
 
 SCHEMA = (
     "source_index bigint, csv_physical_line bigint, report_year int, jurisdiction string, permit_date date, tracking_raw string, project_raw string, raw_apn string, street_address string, standard_address string, "
@@ -37,10 +37,10 @@ SCENARIOS = {
     "fewer latest rows are guarded": ([row(1, 2022, tracking_raw=""), row(2, 2022, tracking_raw=""), row(3, 2023, tracking_raw="")], {}),
     "residual by the same parcel": ([row(1, 2023, street_address="100 Main St", raw_apn="123-456-789"), row(2, 2024, street_address="88 Oak Ave", raw_apn="123-456-789")], {1: "strong_reliable_snapshot"}),
     "residual by project and house": ([row(1, 2023, street_address="100 Main St", project_raw="Heron Row"), row(2, 2024, street_address="100 Mayne Rd", project_raw="Heron Row")], {1: "strong_reliable_snapshot"}),
-    "split into several": ([row(1, 2023, above_moderate=2, reported_total=2, street_address="5 Main St"), row(2, 2024, street_address="7 Main St"), row(3, 2024, street_address="9 Main St")], {1: "strong_category_aggregate"}),
-    "weak project and location": ([row(1, 2023, tracking_raw="", project_raw="Heron Row", tenure="Rental", latitude="1"), row(2, 2024, tracking_raw="", project_raw="Heron Row", latitude="2")], {1: "weak_project_location"}),
-    "weak dual location": ([row(1, 2023, tracking_raw="", raw_apn="123-456-789", latitude="1"), row(2, 2024, tracking_raw="", raw_apn="123-456-789", latitude="2")], {1: "weak_dual_location"}),
-    "weak both": ([row(1, 2023, tracking_raw="", project_raw="Heron Row", raw_apn="123-456-789", latitude="1"), row(2, 2024, tracking_raw="", project_raw="Heron Row", raw_apn="123-456-789", latitude="2")], {1: "weak_project_and_dual_location"}),
+    "split into several": ([row(1, 2023, above_moderate=2, reported_total=2, street_address="5 Main St"), row(2, 2024, street_address="7 Main St"), row(3, 2024, street_address="9 Main St")], {1: "strong_aggregate_exception"}),
+    "weak project and location": ([row(1, 2023, tracking_raw="", project_raw="Heron Row", tenure="Rental", latitude="1"), row(2, 2024, tracking_raw="", project_raw="Heron Row", latitude="2")], {1: "weak_project_snapshot"}),
+    "weak dual location": ([row(1, 2023, tracking_raw="", raw_apn="123-456-789", latitude="1"), row(2, 2024, tracking_raw="", raw_apn="123-456-789", latitude="2")], {1: "weak_dual_location_snapshot"}),
+    "weak both": ([row(1, 2023, tracking_raw="", project_raw="Heron Row", raw_apn="123-456-789", latitude="1"), row(2, 2024, tracking_raw="", project_raw="Heron Row", raw_apn="123-456-789", latitude="2")], {1: "weak_project_and_dual_location_snapshot"}),
     "house number out of the parcel": ([row(1, 2023, tracking_raw="", project_raw="Heron Row", raw_apn="100", street_address="Main Street"), row(2, 2024, tracking_raw="", project_raw="Heron Row", raw_apn="123-456-789")], {1: "weak_house_number_in_apn_transform"}),
     "carried forward by parcel": ([row(1, 2023, raw_apn="123-456-789"), row(2, 2024, tracking_raw="ENT-7", raw_apn="123-456-789", street_address="")], {1: "carried_forward_snapshot"}),
     "carried forward needs a signal": ([row(1, 2023), row(2, 2024, tracking_raw="ENT-7", street_address="9 Elm St")], {}),
@@ -49,7 +49,7 @@ SCENARIOS = {
 
 
 REUSED = [row(1, 2023, street_address="1 Elm St", raw_apn="123-456-789", latitude="38.55", longitude="-121.45"), row(2, 2024, street_address="900 Oak Ave", raw_apn="123-456-789", latitude="38.55", longitude="-121.45"), row(3, 2024, permit_date=date(2023, 3, 3), street_address="9 Elm St")]
-SCENARIOS["reused number with parcel and point"] = (REUSED, {1: "strong_reused_id"})
+SCENARIOS["reused number with parcel and point"] = (REUSED, {1: "strong_reused_id_exception"})
 SCENARIOS["chain of years"] = ([row(1, 2021), row(2, 2022, raw_apn="123-456-789"), row(3, 2023, tracking_raw="ENT-7", raw_apn="123-456-789", street_address="")], {1: "strong_linked_snapshot", 2: "carried_forward_snapshot"})
 
 
@@ -100,8 +100,62 @@ def test_growth_without_vetoes_gives_connected_components():
     assert grow(edges[::-1], []) == home
 
 
-def test_a_move_that_would_split_a_lineage_is_dropped():
-    years = {1: 2020, 2: 2021, 3: 2021, 4: 2022, 5: 2023}
+def test_a_move_that_would_split_a_lineage_is_dropped(spark):
+    years = {1: 2020, 2: 2021, 3: 2021, 4: 2022, 5: 2023, 6: 2020, 7: 2021}
+
+    def settled(removed, candidates):
+        tables = [spark.createDataFrame(list(d.items()), "source_index bigint, refs array<bigint>") for d in (candidates, removed)]
+        return {r[0] for r in settle(*tables, spark.createDataFrame(list(years.items()), "source_index bigint, year int")).collect()}
+
     # row 1 ends in rows 2 and 3; moving both to different years would split it
-    assert settle(years, {1: [2, 3]}, {2: [4], 3: [5]}) == set()
-    assert settle(years, {1: [2, 3]}, {2: [4], 3: [4]}) == {2, 3}
+    assert settled({1: [2, 3]}, {2: [4], 3: [5]}) == set()
+    assert settled({1: [2, 3]}, {2: [4], 3: [4]}) == {2, 3}
+    # a row that doesn't meet the others moves all the same, and one that points to a moved row ends where that one does
+    assert settled({1: [2, 3]}, {2: [4], 3: [5], 7: [5], 6: [7]}) == {7, 6}
+    assert settled({1: [2]}, {2: [4], 4: [5]}) == {2, 4}
+    assert settled({}, {2: [4, 5]}) == set() and settled({1: [2]}, {}) == set()
+
+
+def all_at_once(years, removed, candidates):
+    """Settlement tried out move by move: every year's largest set of moves is cut down until no lineage is split."""
+    toward, gone = dict(removed), set()
+
+    def ends(n, moving):
+        if n in moving:
+            return {(moving[n], n)}
+        return set().union(*(ends(m, moving) for m in toward[n])) if n in toward else {(years[n], None)}
+
+    for year in sorted(set(years.values()), reverse=True):
+        moving = {}
+        for n in candidates:
+            if years[n] == year:
+                to = {y for m in candidates[n] for y, _ in ends(m, {})}
+                if len(to) == 1:
+                    moving[n] = min(to)
+        while bad := {m for n in toward for y, m in ends(n, moving) if m is not None and len({y for y, _ in ends(n, moving)}) > 1}:
+            moving = {n: y for n, y in moving.items() if n not in bad}
+        toward |= {n: candidates[n] for n in moving}
+        gone |= moving.keys()
+    return gone
+
+
+def test_settlement_of_random_lineages(spark):
+    rng = random.Random(11)
+    for _ in range(4):
+        years = {i: 2018 + i % 6 for i in range(120)}
+        later = {i: [j for j in years if years[j] > years[i] and j // 12 == i // 12] for i in years}
+        picks = {i: sorted(rng.sample(later[i], min(len(later[i]), rng.randint(1, 2)))) for i in years if later[i] and rng.random() < 0.7}
+        removed = {i: r for i, r in picks.items() if rng.random() < 0.5}
+        # the rows removed by earlier rules end in one year each
+        ok = {i: r for i, r in removed.items() if len({years[j] for j in r}) == 1 and not any(j in removed for j in r)}
+        candidates = {i: r for i, r in picks.items() if i not in ok}
+        tables = [spark.createDataFrame(list(d.items()), "source_index bigint, refs array<bigint>") for d in (candidates, ok)]
+        got = {r[0] for r in settle(*tables, spark.createDataFrame(list(years.items()), "source_index bigint, year int")).collect()}
+        assert got == all_at_once(years, ok, candidates) and got
+
+
+def test_a_lineage_that_ends_in_several_years_is_an_error(spark):
+    every = spark.createDataFrame([(1, 2020), (2, 2021), (3, 2022)], "source_index bigint, year int")
+    removals = spark.createDataFrame([(1, "x", 2022, [2, 3], "")], "source_index bigint, rule string, latest_year int, refs array<bigint>, evidence string")
+    with pytest.raises(Exception, match="several report years"):
+        decisions(every, removals).collect()
