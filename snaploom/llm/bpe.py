@@ -50,6 +50,18 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in printable else chr(next(rest)) for b in range(256)]
 
 
+@lru_cache(2)
+def token_bytes(vocabulary: bytes) -> list[bytes]:
+    """The bytes of each token, by id; none for ids that the file gives to special tokens."""
+    of = {c: b for b, c in enumerate(byte_symbols())}
+    ids = json.loads(vocabulary)["model"]["vocab"]
+    out = [b""] * (max(ids.values()) + 1)
+    for token, i in ids.items():
+        if all(c in of for c in token):
+            out[i] = bytes(of[c] for c in token)
+    return out
+
+
 def word_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Which positions start a word; ``first`` marks the first position of each text."""
     n = len(points)
@@ -88,7 +100,12 @@ class Encoder:
     """Encodes with the merges of a byte-level vocabulary file (the JSON form)."""
 
     def __init__(self, vocabulary: bytes):
-        model = json.loads(vocabulary)["model"]
+        told = json.loads(vocabulary)
+        cut = told.get("pre_tokenizer") or {}
+        # the words that word_starts finds are those of this kind of file only
+        if told.get("normalizer") is not None or (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex", True)) != ("ByteLevel", False, True):
+            raise ValueError("the vocabulary's texts are cut into words by other rules than those of byte-level files")
+        model = told["model"]
         ids = model["vocab"]
         self.byte_ids = [ids[s] for s in byte_symbols()]
         #: (left id, right id) as one number -> rank; by rank: left, right and merged id

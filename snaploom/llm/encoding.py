@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from snaploom.llm import bpe
 
-#: Where the vocabulary files are; any folder with files of the same names will do.
+#: Where the vocabulary files are. A file of the same name in another folder will do if its words are cut alike, which is checked.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -64,3 +64,18 @@ def token_counts(documents: DataFrame, columns: list[str], text: str = "text", t
     rows = documents.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], F.col(text).alias("text"))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("n_tokens", T.LongType())])
     return rows.mapInArrow(count, schema).toDF(*columns, "n_tokens")
+
+
+def texts_of(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", tokenizers: str = TOKENIZERS) -> DataFrame:
+    """(doc_id, bytes): what the ids of each document stand for, the bytes of its text."""
+    vocabulary = shared_vocabulary(encoded.sparkSession, tokenizers)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelled = bpe.token_bytes(vocabulary.value)
+        for batch in batches:
+            texts = [b"".join([spelled[i] for i in row]) if row is not None else None for row in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(texts, pa.binary())], ["key", "bytes"])
+
+    rows = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
+    schema = T.StructType([T.StructField("key", rows.schema["key"].dataType), T.StructField("bytes", T.BinaryType())])
+    return rows.mapInArrow(decode, schema).withColumnRenamed("key", key)

@@ -164,32 +164,22 @@ def _token(*kinds: str) -> str:
 LONG_ENOUGH = f"{' + '.join(f'int({v} is not null)' for v in VALUES.values())} >= {OVERLAP}"
 
 
-def _posted(parts: DataFrame, found: list[str], fresh: bool) -> DataFrame:
-    marks = [f"smallint(if({v} is null, null, pmod(hash({v}), 32768))) as m_{k}" for k, v in VALUES.items()]
-    each = parts.where(LONG_ENOUGH).selectExpr("row", "street is null as bare", *marks, f"inline(array({', '.join(found)}))").where("token is not null")
-    return each.selectExpr("token", "row", "bare", "with_bare", "single", f"{str(fresh).lower()} as fresh", *[f"m_{k}" for k in BASE])
-
-
-def postings(parts: DataFrame) -> DataFrame:
-    """The postings of every record: its tokens that may be rare, and the threes of those that never are."""
-    found = [f"named_struct('token', {_token(k)}, 'with_bare', {k == 'parcel'}, 'single', true)" for k in SELECTIVE]
-    found += [f"named_struct('token', {_token(*kinds)}, 'with_bare', {with_bare}, 'single', false)" for kinds, with_bare in THREES if not {*kinds} & {*SELECTIVE}]
-    return _posted(parts, found, True)
-
-
-def threes(parts: DataFrame, fresh: bool, about: str = "often") -> DataFrame:
-    """The further postings of records with frequent tokens: the threes that have one.
+def postings(parts: DataFrame, fresh: str = "true", about: str | None = None) -> DataFrame:
+    """A record's postings: its tokens that may be rare, and the threes of its frequent ones.
 
     The array ``often`` has the kinds of SELECTIVE whose token is frequent in the
-    record; another one, ``about``, the kinds of which the threes must have one.
+    record. With ``about``, another such array, only the threes that have one of its kinds.
     """
-    found = []
+    found = [f"named_struct('token', {_token(k)}, 'with_bare', {k == 'parcel'}, 'single', true)" for k in SELECTIVE] if about is None else []
     for kinds, with_bare in THREES:
         selective = [k for k in kinds if k in SELECTIVE]
-        if selective:
-            wanted = [f"array_contains(often, '{k}')" for k in selective] + [f"arrays_overlap({about}, array({', '.join(map(repr, selective))}))"]
-            found.append(f"named_struct('token', if({' and '.join(wanted)}, {_token(*kinds)}, null), 'with_bare', {with_bare}, 'single', false)")
-    return _posted(parts, found, fresh)
+        if about is None or selective:
+            wanted = [f"array_contains(often, '{k}')" for k in selective] + ([f"arrays_overlap({about}, array({', '.join(map(repr, selective))}))"] if about else [])
+            token = f"if({' and '.join(wanted)}, {_token(*kinds)}, null)" if wanted else _token(*kinds)
+            found.append(f"named_struct('token', {token}, 'with_bare', {with_bare}, 'single', false)")
+    marks = [f"smallint(if({v} is null, null, pmod(hash({v}), 32768))) as m_{k}" for k, v in VALUES.items()]
+    each = parts.where(LONG_ENOUGH).selectExpr("row", "street is null as bare", f"{fresh} as fresh", *marks, f"inline(array({', '.join(found)}))").where("token is not null")
+    return each.selectExpr("token", "row", "bare", "with_bare", "single", "fresh", *[f"m_{k}" for k in BASE])
 
 
 def _repeats(itself: bool = False) -> str:
@@ -242,7 +232,7 @@ class RepeatIndex:
         self.entries = spark.sparkContext.broadcast(tuple(entries_of(listed)))
         self.temporary = path is None
         self.path = (path or new_path(spark, "repeats")).rstrip("/")
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or spark.sparkContext.defaultParallelism
         self.generation = self.steps = self.commits = self.counted = 0
         self.batches: dict[str, int] = {}
         self._read_manifest()
@@ -307,29 +297,30 @@ class RepeatIndex:
         names = sorted(n for n in names if int(n.split("-")[0]) <= self.steps)
         return self.spark.read.schema("token bigint").parquet(*[f"{self.path}/frequent/{n}" for n in names]) if names else None
 
-    def _with_often(self, parts: DataFrame, tokens: DataFrame, name: str) -> DataFrame:
+    def _with_often(self, parts: DataFrame, tokens: DataFrame | None, name: str = "often") -> DataFrame:
         """Adds the kinds whose token is one of ``tokens``."""
+        if tokens is None:
+            return parts.withColumn(name, F.array().cast("array<string>"))
         hits = tokens.selectExpr("token as asked", "true as hit")  # one small table for all three joins
         for k in SELECTIVE:
             parts = parts.withColumn("asked", F.expr(_token(k))).join(hits, "asked", "left").drop("asked").withColumnRenamed("hit", f"hit_{k}")
         return parts.withColumn(name, F.array_compact(F.array(*[F.expr(f"if(hit_{k}, '{k}', null)") for k in SELECTIVE]))).drop(*[f"hit_{k}" for k in SELECTIVE])
 
-    def _holding(self, tokens: DataFrame, steps: str) -> DataFrame:
-        """The parts of the records that hold one of the tokens."""
-        rows = self._table("postings").where(f"single and {steps}").join(tokens, "token", "left_semi").select("row").distinct()
-        return self._table("parts").where(steps).join(rows, "row", "left_semi").select(*COLUMNS)
-
-    def _promote(self, counted: DataFrame, name: str, steps: str) -> None:
-        """Makes tokens frequent that more than RARE records hold, and indexes the records of some steps that hold them by their threes."""
-        frequent = self._frequent()
-        often = counted.groupBy("token").agg(F.count("*").alias("n")).where(f"n > {RARE}").select("token")
-        new = saved(often if frequent is None else often.join(frequent, "token", "left_anti"), "frequent", f"{self.path}/new/{name}")
+    def _promote(self, singles: DataFrame, name: str) -> None:
+        """Makes those of the tokens frequent that more than RARE records hold, and indexes the records holding them by their threes."""
+        frequent, path = self._frequent(), f"{self.path}/frequent/{name}"
+        often = singles.groupBy("token").agg(F.count("*").alias("n")).where(f"n > {RARE}").select("token")
+        new = saved((often if frequent is None else often.join(frequent, "token", "left_anti")).hint("rebalance"), "frequent", path)
         if new.isEmpty():
+            remove(self.spark, path)
             return
-        saved(new, "frequent", f"{self.path}/frequent/{name}")
-        if self.steps:
-            held = self._with_often(self._holding(new, steps), new, "now_often")
-            self._append("postings", threes(self._with_often(held, self._frequent(), "often"), False, "now_often"))
+        rows = self._table("postings").where("single").join(new, "token", "left_semi").select("row").distinct()
+        held = self._with_often(self._table("parts").join(rows, "row", "left_semi"), new, "now_often")
+        self._append("postings", postings(self._with_often(held, self._frequent()), f"step = {self.steps}", "now_often"))
+
+    def _size(self) -> int:
+        """Bytes of the accepted parts."""
+        return self._fs().getContentSummary(self._at(self._folder("parts"))).getLength()
 
     def accept(self, batch: DataFrame, name: str | None = None) -> DataFrame:
         """Checks a batch against all accepted rows and itself, and adds it; gives its (a, b) links, a < b.
@@ -351,20 +342,18 @@ class RepeatIndex:
         signed = parts.where(f"{LONG_ENOUGH} and ({REPEATS_ITSELF})").selectExpr("row", *signs)
         twice = signed.groupBy("sign1", "sign2").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
         copies = saved(signed.join(twice, ["sign1", "sign2"]).where("row <> first").selectExpr("first as a", "row as b"), "copies", f"{self.path}/copies/{step}")
-        self._append("postings", postings(parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti")))
+        firsts = parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti")
+        self._append("postings", postings(self._with_often(firsts, self._frequent())))
         singles = self._table("postings").where("single")
-        self._promote(singles.where(here).select("token"), f"{step}-a", f"step < {step}")
-        frequent = self._frequent()
-        if frequent is not None:
-            self._append("postings", threes(self._with_often(self._holding(frequent, here), frequent, "often"), True))
-        saved(self._verified(step), "links", f"{self.path}/links/{step}")
-        # tokens become frequent by adding up too; counting them all each time the index has grown by half is enough, as this changes no result
-        rows = self._table("parts").count()
+        self._promote(singles.where(here).select("token"), f"{step}-a")
+        saved(self._verified(step).hint("rebalance"), "links", f"{self.path}/links/{step}")
+        # tokens become frequent by adding up too; to count them all each time the index has grown by half is enough, as this changes no result
+        size = self._size()
         if not step:
-            self.counted = rows
-        elif 2 * rows > 3 * self.counted:
-            self.counted = rows
-            self._promote(singles.select("token"), f"{step}-b", f"step <= {step}")
+            self.counted = size
+        elif 2 * size > 3 * self.counted:
+            self.counted = size
+            self._promote(singles.select("token"), f"{step}-b")
         if name is not None:
             self.batches[name] = step
         self.steps += 1
