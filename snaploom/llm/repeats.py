@@ -232,7 +232,8 @@ class RepeatIndex:
         self.entries = spark.sparkContext.broadcast(tuple(entries_of(listed)))
         self.temporary = path is None
         self.path = (path or new_path(spark, "repeats")).rstrip("/")
-        self.buckets = buckets or spark.sparkContext.defaultParallelism
+        # with fewer buckets than shuffle partitions the planner would shuffle the accepted rows after all
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.generation = self.steps = self.commits = self.counted = 0
         self.batches: dict[str, int] = {}
         self._read_manifest()
