@@ -66,6 +66,8 @@ NEAR_DAYS = 3
 OVERLAP = 3
 #: Records that may hold a token for it to be rare.
 RARE = 64
+#: Frequent tokens that are sent along as literals; more of them are joined.
+FEW = 1000
 BASE = ("place", "day", "number", "site", "parcel", "point")
 #: The kinds whose tokens may be rare, the rarest first.
 SELECTIVE = ("number", "point", "parcel")
@@ -232,8 +234,7 @@ class RepeatIndex:
         self.entries = spark.sparkContext.broadcast(tuple(entries_of(listed)))
         self.temporary = path is None
         self.path = (path or new_path(spark, "repeats")).rstrip("/")
-        # with fewer buckets than shuffle partitions the planner would shuffle the accepted rows after all
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or spark.sparkContext.defaultParallelism
         self.generation = self.steps = self.commits = self.counted = 0
         self.batches: dict[str, int] = {}
         self._read_manifest()
@@ -302,6 +303,10 @@ class RepeatIndex:
         """Adds the kinds whose token is one of ``tokens``."""
         if tokens is None:
             return parts.withColumn(name, F.array().cast("array<string>"))
+        few = tokens.limit(FEW + 1).collect()
+        if len(few) <= FEW:
+            listed = ", ".join(f"{r[0]}L" if r[0] != -(2**63) else "bigint('-9223372036854775808')" for r in few) or "null"
+            return parts.withColumn(name, F.array_compact(F.array(*[F.expr(f"if({_token(k)} in ({listed}), '{k}', null)") for k in SELECTIVE])))
         hits = tokens.selectExpr("token as asked", "true as hit")  # one small table for all three joins
         for k in SELECTIVE:
             parts = parts.withColumn("asked", F.expr(_token(k))).join(hits, "asked", "left").drop("asked").withColumnRenamed("hit", f"hit_{k}")
@@ -315,7 +320,7 @@ class RepeatIndex:
         if new.isEmpty():
             remove(self.spark, path)
             return
-        rows = self._table("postings").where("single").join(new, "token", "left_semi").select("row").distinct()
+        rows = self._table("postings").where("single").join(new, "token", "left_semi").select("row").repartition(self.buckets, "row").distinct()
         held = self._with_often(self._table("parts").join(rows, "row", "left_semi"), new, "now_often")
         self._append("postings", postings(self._with_often(held, self._frequent()), f"step = {self.steps}", "now_often"))
 
@@ -371,12 +376,13 @@ class RepeatIndex:
         other = index.selectExpr("token", "row as row2", "bare as bare2", "with_bare", "step", *[f"{m} as {m}2" for m in marks])
         shared = " + ".join(f"coalesce(int({m} = {m}2), 0)" for m in marks)
         met = own.join(other, "token").where(f"row2 <> row and (step < at or row2 < row) and (not with_bare or bare or bare2) and {shared} >= {OVERLAP}")
-        return met.selectExpr("row as b", "row2 as a").distinct()
+        # in as many partitions as there are buckets, or the planner would shuffle the accepted parts too
+        return met.selectExpr("row as b", "row2 as a").repartition(self.buckets, "b").distinct()
 
     def _verified(self, step: int) -> DataFrame:
         every = self._table("parts")
         a, b = (rows.selectExpr(*[f"{c} as {x}_{c}" for c in COLUMNS]) for x, rows in (("a", every), ("b", every.where(f"step = {step}"))))
-        met = self.candidates(step).join(b, F.col("b") == F.col("b_row")).join(a, F.col("a") == F.col("a_row"))
+        met = self.candidates(step).join(b, F.col("b") == F.col("b_row")).repartition(self.buckets, "a").join(a, F.col("a") == F.col("a_row"))
         return met.where(REPEATS).selectExpr("least(a, b) as a", "greatest(a, b) as b")
 
     def _links(self, step: int) -> DataFrame:
