@@ -25,6 +25,7 @@ WORDS = {
 }
 SUFFIXES = ("ST", "AVE", "RD", "DR", "LN", "CT", "PL", "BLVD", "HWY", "PKWY", "TER", "CIR", "TRL", "PLZ", "WAY", "SQ", "LOOP")
 UNIT_WORDS = {"UNIT": "UNIT", "APT": "UNIT", "APARTMENT": "UNIT", "SUITE": "UNIT", "STE": "UNIT", "LOT": "LOT", "BLDG": "BLDG", "BUILDING": "BLDG"}
+# fixed values: how a unit is written
 UNIT_VALUE = r"\b(UNIT|APT|APARTMENT|SUITE|STE|LOT|BLDG|BUILDING)\s*:?[# ]*([A-Z0-9-]+)"
 UNIT_MARK = r"(\b(UNIT|APT|APARTMENT|SUITE|STE|LOT|BLDG|BUILDING)\b|#)"
 
@@ -187,6 +188,12 @@ def display_name(c: Column) -> Column:
     return F.regexp_replace(cased, r"(?i)\s+county$", " County (Unincorporated)")
 
 
+def bare_key(c: Column) -> Column:
+    """A displayed name without accents and without the ending that marks a county's territory, in capitals."""
+    bare = F.regexp_replace(c, r"(?i)\s*([-(]\s*unincorporated\s*\)?)\s*$", "")
+    return key(without_accents(bare))
+
+
 def labels(c: Column, none: tuple[str, ...] = ("", "NONE", "NA", "N/A", "NO")) -> Column:
     """Distinct labels of a text separated by commas or semicolons, sorted; those that mean none left out."""
     parts = F.transform(F.split(F.coalesce(c, F.lit("")), "[;,]"), key)

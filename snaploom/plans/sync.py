@@ -41,6 +41,15 @@ def map_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     return each.select(key, "field_name", *[F.try_element_at(c, F.col("field_name")).alias(n) for c, n in (("b", "before"), ("a", "after"))])
 
 
+def applied(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """(key, fields) of a target after the changes: a changed key gets its value after, or goes if that is null."""
+    each = changes.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("field_name", "after"))).alias("new"))
+    both = target.select(key, "fields").join(each, key, "left")
+    kept = F.map_filter("fields", lambda k, v: F.col("new").isNull() | ~F.map_contains_key("new", k))
+    merged = F.map_concat(kept, F.map_filter("new", lambda k, v: v.isNotNull()))
+    return both.select(key, F.when(F.col("new").isNull(), F.col("fields")).otherwise(merged).alias("fields"))
+
+
 def map_routes(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """As ``routes``, over all keys of either side's ``fields``."""
     t, s = (df.select(key, F.struct("fields").alias(n)) for df, n in ((target, "t"), (source, "s")))

@@ -74,12 +74,12 @@ def positive_text_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH c AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY ALL),
-t AS (SELECT user_id, day, CAST(sum(n) OVER (PARTITION BY user_id, day) AS BIGINT) AS n_rows, event_type AS top_value, n AS top_n, row_number() OVER (PARTITION BY user_id, day ORDER BY n DESC, event_type) AS r FROM c)
-SELECT user_id, day, n_rows, top_value, top_n, round_even(top_n / n_rows, 4) AS top_share FROM t WHERE r = 1 AND n_rows >= 10 AND top_n >= 0.5 * n_rows""")
+WITH c AS (SELECT jurisdiction_display, report_year, unit_category, count(*) AS n FROM permit_records WHERE unit_category IS NOT NULL GROUP BY ALL),
+t AS (SELECT jurisdiction_display, report_year, CAST(sum(n) OVER (PARTITION BY jurisdiction_display, report_year) AS BIGINT) AS n_rows, unit_category AS top_value, n AS top_n, row_number() OVER (PARTITION BY jurisdiction_display, report_year ORDER BY n DESC, unit_category) AS r FROM c)
+SELECT jurisdiction_display, report_year, n_rows, top_value, top_n, round_even(top_n / n_rows, 4) AS top_share FROM t WHERE r = 1 AND n_rows >= 10 AND top_n >= 0.5 * n_rows""")
 def mode_share_heaping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"), "event_type")
-    return R.mode_share(e, ["user_id", "day"], "event_type")
+    """Places and years half of whose rows are of one category."""
+    return R.mode_share(table(spark, sf_dir, "permit_records"), ["jurisdiction_display", "report_year"], "unit_category")
 
 
 @query(f"SELECT juris_key, CAST(sum({UNITS}) AS BIGINT) AS undated_units FROM {_PERMITS} WHERE permit_date IS NULL GROUP BY 1 HAVING sum({UNITS}) <> 0")

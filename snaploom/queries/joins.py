@@ -92,11 +92,11 @@ def cross_year_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT DISTINCT a.jurisdiction, a.tracking_raw FROM permit_records a JOIN permit_records b ON a.jurisdiction = b.jurisdiction AND a.tracking_raw = b.tracking_raw AND a.report_year = b.report_year AND a.permit_date = b.permit_date AND a.formatted_apn <> b.formatted_apn WHERE a.formatted_apn <> '' AND b.formatted_apn <> '' AND a.tracking_raw <> ''""")
+SELECT DISTINCT a.jurisdiction_display, a.tracking_raw FROM permit_records a JOIN permit_records b ON a.jurisdiction_display = b.jurisdiction_display AND a.tracking_raw = b.tracking_raw AND a.report_year = b.report_year AND a.formatted_apn <> b.formatted_apn WHERE a.formatted_apn <> '' AND b.formatted_apn <> '' AND a.tracking_raw <> ''""")
 def collision_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "permit_records").where("formatted_apn <> '' AND tracking_raw <> '' AND jurisdiction is not null AND permit_date is not null")
-    per = p.groupBy("jurisdiction", "tracking_raw", "report_year", "permit_date").agg(F.min("formatted_apn").alias("low"), F.max("formatted_apn").alias("high"))
-    return per.where("low <> high").select("jurisdiction", "tracking_raw").distinct()
+    p = table(spark, sf_dir, "permit_records").where("formatted_apn <> '' AND tracking_raw <> '' AND jurisdiction_display is not null AND report_year is not null")
+    per = p.groupBy("jurisdiction_display", "tracking_raw", "report_year").agg(F.min("formatted_apn").alias("low"), F.max("formatted_apn").alias("high"))
+    return per.where("low <> high").select("jurisdiction_display", "tracking_raw").distinct()
 
 
 _REFS = "(SELECT source_index, unnest(list_distinct(list_concat(coalesce(retained_source_indices, []), coalesce(matched_source_indices, [])))) AS ref FROM dedup_audit)"
@@ -133,11 +133,14 @@ def record_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.sides(table(spark, sf_dir, "sync_expected"), table(spark, sf_dir, "sync_desired"), ["record_id"])
 
 
-@query("SELECT n_regionkey AS key, count(*) AS n FROM nation GROUP BY 1 HAVING count(*) <> 1")
+@query("""
+WITH l AS (SELECT record_id, count(*) AS n_left FROM sync_expected GROUP BY 1), r AS (SELECT record_id, count(*) AS n_right FROM sync_desired GROUP BY 1)
+SELECT record_id, CASE WHEN n_left IS NULL THEN 'unexpected' WHEN n_right IS NULL THEN 'missing' ELSE 'ambiguous' END AS problem FROM l FULL JOIN r USING (record_id) WHERE n_left IS DISTINCT FROM 1 OR n_right IS DISTINCT FROM 1""")
 def one_to_one_violation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
-    sides = R.sides(nation.select(F.col("n_regionkey").alias("key")), region.select(F.col("r_regionkey").alias("key")), ["key"])
-    return sides.where("found_as = 'repeated'").select("key", F.col("n_left").alias("n"))
+    """Records of the two copies that don't face exactly one on the other side."""
+    sides = R.sides(table(spark, sf_dir, "sync_expected"), table(spark, sf_dir, "sync_desired"), ["record_id"]).where("found_as <> 'matched'")
+    problem = F.when(F.col("found_as") == "only_right", "unexpected").when(F.col("found_as") == "only_left", "missing").otherwise("ambiguous")
+    return sides.select("record_id", problem.alias("problem"))
 
 
 @query("""
@@ -149,22 +152,36 @@ def single_link_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.join(p, "target").where("target_year >= report_year").select("source_index", "target", "target_year")
 
 
-@query("""
-WITH alias AS (SELECT 'juspant meadows' AS typed, 'JUSPANT MEADOWS' AS name UNION ALL SELECT 'burdwick', 'BURDWICK')
-SELECT p.source_index, j.juris_key FROM permit_records p LEFT JOIN alias a ON lower(p.jurisdiction) = a.typed JOIN jurisdictions j ON j.juris_key = coalesce(a.name, p.jurisdiction)""")
+_ALIASES = "SELECT juris_key, unnest([lower(juris_display), 'city of ' || lower(juris_display), lower(juris_display) || ', ca', lower(juris_display) || ' (' || lower(county) || ' county)']) AS alias FROM jurisdictions"
+_ALIASED = f"(SELECT alias, min(juris_key) AS juris_key FROM ({_ALIASES}) GROUP BY 1 HAVING count(DISTINCT juris_key) = 1)"
+
+
+@query(f"""
+SELECT p.source_index, j.juris_key, CASE WHEN p.jurisdiction = j.juris_key THEN 'name' ELSE 'alias' END AS found_by FROM permit_records p LEFT JOIN {_ALIASED} a ON lower(trim(p.jurisdiction)) = a.alias JOIN jurisdictions j ON j.juris_key = CASE WHEN p.jurisdiction IN (SELECT juris_key FROM jurisdictions) THEN p.jurisdiction ELSE a.juris_key END""")
 def alias_map_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alias = spark.createDataFrame([("juspant meadows", "JUSPANT MEADOWS"), ("burdwick", "BURDWICK")], "typed string, name string")
-    p = table(spark, sf_dir, "permit_records").join(alias, F.lower("jurisdiction") == F.col("typed"), "left")
-    return p.select("source_index", F.coalesce("name", "jurisdiction").alias("juris_key")).join(table(spark, sf_dir, "jurisdictions").select("juris_key"), "juris_key").select("source_index", "juris_key")
+    """Rows with their place by its key, or else by one of its aliases; an alias of several places is none."""
+    j = table(spark, sf_dir, "jurisdictions")
+    name, county = F.lower("juris_display"), F.lower("county")
+    each = j.select(F.col("juris_key").alias("key"), F.explode(F.array(name, F.concat(F.lit("city of "), name), F.concat(name, F.lit(", ca")), F.concat(name, F.lit(" ("), county, F.lit(" county)")))).alias("alias"))
+    aliases = each.groupBy("alias").agg(F.min("key").alias("by_alias"), F.count_distinct("key").alias("n")).where("n = 1").drop("n")
+    keys = j.select("juris_key")
+    p = table(spark, sf_dir, "permit_records").select("source_index", "jurisdiction").join(keys, F.col("jurisdiction") == F.col("juris_key"), "left").withColumnRenamed("juris_key", "by_key")
+    found = p.join(aliases, F.lower(F.trim("jurisdiction")) == F.col("alias"), "left").select("source_index", F.coalesce("by_key", "by_alias").alias("juris_key"), F.when(F.col("by_key").isNotNull(), "name").otherwise("alias").alias("found_by"))
+    return found.where("juris_key is not null")
 
 
 @query("""
-SELECT c_custkey, o_orderkey FROM customer JOIN orders ON CASE WHEN c_custkey % 2 = 0 THEN o_custkey = c_custkey ELSE o_orderkey = c_custkey END""")
+WITH s AS (SELECT audit_id, CASE WHEN len(coalesce(retained_source_indices, [])) > 0 THEN retained_source_indices[1] END AS by_id, CASE WHEN trim(coalesce(tracking_id, '')) <> '' THEN tracking_id END AS by_value, jurisdiction FROM dedup_audit)
+SELECT audit_id, source_index, 'id' AS found_by FROM s JOIN permit_records ON source_index = by_id UNION ALL SELECT audit_id, source_index, 'value' FROM s JOIN permit_records p ON by_id IS NULL AND p.tracking_raw = by_value AND p.jurisdiction = s.jurisdiction
+UNION ALL SELECT audit_id, NULL, 'no selector' FROM s WHERE by_id IS NULL AND by_value IS NULL""")
 def match_by_id_or_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
-    by_id = c.where("c_custkey % 2 = 0").join(o, F.col("c_custkey") == F.col("o_custkey"))
-    by_value = c.where("c_custkey % 2 <> 0").join(o, F.col("c_custkey") == F.col("o_orderkey"))
-    return by_id.select("c_custkey", "o_orderkey").unionAll(by_value.select("c_custkey", "o_orderkey"))
+    """An entry's rows by the index it retains, or else by its number and place; entries with neither are told."""
+    s = table(spark, sf_dir, "dedup_audit").select("audit_id", F.try_element_at("retained_source_indices", F.lit(1)).alias("by_id"), F.when(F.trim("tracking_id") != "", F.col("tracking_id")).alias("tracking_raw"), "jurisdiction")
+    p = table(spark, sf_dir, "permit_records").select("source_index", "tracking_raw", "jurisdiction")
+    by_id = s.join(p.select("source_index"), F.col("by_id") == F.col("source_index")).select("audit_id", "source_index", F.lit("id").alias("found_by"))
+    by_value = s.where("by_id is null").join(p, ["tracking_raw", "jurisdiction"]).select("audit_id", "source_index", F.lit("value").alias("found_by"))
+    neither = s.where("by_id is null and tracking_raw is null").select("audit_id", F.lit(None).cast("bigint").alias("source_index"), F.lit("no selector").alias("found_by"))
+    return by_id.unionAll(by_value).unionAll(neither)
 
 
 @query("""
