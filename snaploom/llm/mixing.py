@@ -134,9 +134,9 @@ def mixture(documents: DataFrame, targets: DataFrame, blocks: int = BLOCKS, seed
 def _report(mixed: DataFrame, texts: DataFrame, targets: DataFrame) -> DataFrame:
     """What each source should and does contribute; ``due_share`` is its target among the sources that have texts."""
     goal = targets.where("source_name is not null").groupBy(F.col("source_name").alias("source")).agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    there = texts.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"), F.count("*").alias("available_texts"))
+    there = texts.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"), F.count("*").alias("available_texts"), F.max("n_tokens").alias("longest_text"))
     got = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("mixed_tokens"), F.max("uses").alias("most_uses"))
-    joined = goal.join(there, "source", "full").join(got, "source", "left").na.fill(0, ["available_tokens", "available_texts", "mixed_tokens", "most_uses"])
+    joined = goal.join(there, "source", "full").join(got, "source", "left").na.fill(0, ["available_tokens", "available_texts", "longest_text", "mixed_tokens", "most_uses"])
     # one row for each source, so this is small
     every = W.partitionBy()
     due = F.when((F.col("target_share") > 0) & (F.col("max_repeats") > 0) & (F.col("available_tokens") > 0), F.col("target_share")).otherwise(0.0)
