@@ -29,6 +29,10 @@ STATES = {"CA", "CALIFORNIA"}
 MARK = re.compile(r"(?<![A-Z0-9])(UNIT|APARTMENT|APT|SUITE|STE|BUILDING|BLDG|LOT|SPACE|SPC|ROOM|RM)(?![A-Z])[\s.:#-]*#?\s*([A-Z0-9]+)(?![A-Z0-9])|#\s*([A-Z0-9]+)(?![A-Z0-9])")
 
 
+TOKENS = re.compile(r"[A-Z0-9]+")
+SIGNIFICANT = re.compile(r"[1-9]")
+
+
 class Address(NamedTuple):
     house: str | None
     direction: str | None
@@ -53,7 +57,8 @@ def parse(text: str | None, place: str | None = None) -> Address | None:
     if not text:
         return None
     up = plain(text)
-    if " ".join(re.findall(r"[A-Z0-9]+", up)) in STAND_INS:
+    # no stand-in has a digit but zero
+    if not SIGNIFICANT.search(up) and " ".join(TOKENS.findall(up)) in STAND_INS:
         return None
     unit = None
     found = MARK.search(up)
@@ -62,7 +67,7 @@ def parse(text: str | None, place: str | None = None) -> Address | None:
         kind = UNITS[found[1] or "#"]
         unit = value if kind == "UNIT" else f"{kind} {value}"
         up = f"{up[: found.start()]} , {up[found.end() :]}"
-    tokens = re.findall(r"[A-Z0-9]+", up.replace("'", ""))
+    tokens = TOKENS.findall(up.replace("'", ""))
     while tokens and tokens[-1] in STATES:
         tokens.pop()
     if place:

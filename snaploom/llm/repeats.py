@@ -57,6 +57,8 @@ PARTS = "row bigint, place string, day date, number string, house string, unit s
 COLUMNS = [p.split()[0] for p in PARTS.split(", ")]
 # fixed values: words that aren't part of a number
 NOISE = re.compile(r"\b(?:PERMIT|PERMITS|NUMBER|NUM|NO)\b")
+ZEROS = re.compile(r"(?<=[0-9])O+|O+(?=[0-9])")
+DIGITS, LETTERS = re.compile(r"[0-9]+"), re.compile(r"[A-Z]+")
 # fixed values: entries for a place that name none
 NO_PLACE = {"", "NA", "N A", "NONE", "NULL", "TBD", "TEST", "STATE", "COUNTY", "CITY", "UNKNOWN", "VARIOUS", "MULTIPLE", "MULTIPLE CITIES", "SEE NOTES", "NOT LISTED", "OTHER"}
 NO_ADDRESS = addresses.Address(None, None, None, None, None)  # type: ignore[arg-type]
@@ -88,12 +90,15 @@ def number_key(text: str | None) -> str | None:
     """
     if not text:
         return None
-    up = NOISE.sub(" ", addresses.plain(text))
-    up = re.sub(r"(?<=[0-9])O+|O+(?=[0-9])", lambda m: "0" * len(m[0]), up)
-    digits = re.findall(r"[0-9]+", up)
+    up = addresses.plain(text)
+    if "P" in up or "N" in up:
+        up = NOISE.sub(" ", up)
+    if "O" in up:
+        up = ZEROS.sub(lambda m: "0" * len(m[0]), up)
+    digits = DIGITS.findall(up)
     if not digits or not "".join(digits).strip("0"):
         return None
-    letters = "".join(re.findall(r"[A-Z]", up))
+    letters = "".join(LETTERS.findall(up))
     if len(digits) == 1:
         d = digits[0]
         at = 4 if len(d) >= 8 and d[:2] in ("19", "20") else 2
