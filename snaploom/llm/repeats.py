@@ -15,7 +15,7 @@ batches, and no token pairs up more than so many records.
 The index is an inverted one, kept in the folder given, bucketed by token.
 A batch is read once, probes the index with its own tokens only, counts the tokens
 that both records of a candidate share, verifies those with three or more on
-all parts, and appends its postings. Postings carry two bytes of each token to
+all parts, and appends its postings. Postings carry ten bits of each token to
 count with, so the parts of accepted records are fetched for candidates only.
 The verified links of all batches are
 consolidated, and each group's first record is the one first accepted.
@@ -80,7 +80,10 @@ THREES = (
     (("day", "number", "site"), False), (("day", "number", "parcel"), True), (("day", "number", "point"), True),
     (("place", "site", "point"), False), (("place", "parcel", "point"), True), (("day", "site", "point"), False), (("number", "site", "point"), False),
 )
-POSTING = "token bigint, row bigint, bare boolean, with_bare boolean, single boolean, fresh boolean, " + ", ".join(f"m_{b} smallint" for b in BASE)
+#: A posting is a token, a record, and in one number ten bits of each of the record's tokens and what is known of the posting.
+POSTING = "token bigint, row bigint, marks bigint"
+BITS = 10
+BARE, WITH_BARE, SINGLE, FRESH = (1 << i for i in range(BITS * len(BASE), BITS * len(BASE) + 4))
 
 
 def number_key(text: str | None) -> str | None:
@@ -184,9 +187,26 @@ def postings(parts: DataFrame, fresh: str = "true", about: str | None = None) ->
             wanted = [f"array_contains(often, '{k}')" for k in selective] + ([f"arrays_overlap({about}, array({', '.join(map(repr, selective))}))"] if about else [])
             token = f"if({' and '.join(wanted)}, {_token(*kinds)}, null)" if wanted else _token(*kinds)
             found.append(f"named_struct('token', {token}, 'with_bare', {with_bare}, 'single', false)")
-    marks = [f"smallint(if({v} is null, null, pmod(hash({v}), 32768))) as m_{k}" for k, v in VALUES.items()]
-    each = parts.where(LONG_ENOUGH).selectExpr("row", "street is null as bare", f"{fresh} as fresh", *marks, f"inline(array({', '.join(found)}))").where("token is not null")
-    return each.selectExpr("token", "row", "bare", "with_bare", "single", "fresh", *[f"m_{k}" for k in BASE])
+    # no token is all zeros
+    own = " | ".join(f"shiftleft(bigint(if({v} is null, 0, 1 + pmod(hash({v}), {2**BITS - 1}))), {BITS * i})" for i, v in enumerate(VALUES.values()))
+    own += f" | if(street is null, {_long(BARE)}, 0L) | if({fresh}, {_long(FRESH)}, 0L)"
+    each = parts.where(LONG_ENOUGH).selectExpr("row", f"{own} as own", f"inline(array({', '.join(found)}))").where("token is not null")
+    return each.selectExpr("token", "row", f"own | if(with_bare, {_long(WITH_BARE)}, 0L) | if(single, {_long(SINGLE)}, 0L) as marks")
+
+
+def _long(bits: int) -> str:
+    """The number with these bits as a literal."""
+    return f"{bits - 2**64 if bits >= 2**63 else bits}L" if bits != 2**63 else "shiftleft(1L, 63)"
+
+
+def _has(flag: int, marks: str = "marks") -> str:
+    return f"({marks} & {_long(flag)}) <> 0"
+
+
+def _shared(a: str, b: str) -> str:
+    """How many tokens two records share by their marks."""
+    masks = [_long((2**BITS - 1) << BITS * i) for i in range(len(BASE))]
+    return " + ".join(f"int((({a} ^ {b}) & {m}) = 0 and ({a} & {m}) <> 0)" for m in masks)
 
 
 def _repeats(itself: bool = False) -> str:
@@ -325,7 +345,7 @@ class RepeatIndex:
         if new.isEmpty():
             remove(self.spark, path)
             return
-        rows = self._table("postings").where("single").join(new, "token", "left_semi").select("row").repartition(self.buckets, "row").distinct()
+        rows = self._table("postings").where(_has(SINGLE)).join(new, "token", "left_semi").select("row").repartition(self.buckets, "row").distinct()
         held = self._with_often(self._table("parts").join(rows, "row", "left_semi"), new, "now_often")
         self._append("postings", postings(self._with_often(held, self._frequent()), f"step = {self.steps}", "now_often"))
 
@@ -355,7 +375,7 @@ class RepeatIndex:
         copies = saved(signed.join(twice, ["sign1", "sign2"]).where("row <> first").selectExpr("first as a", "row as b"), "copies", f"{self.path}/copies/{step}")
         firsts = parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti")
         self._append("postings", postings(self._with_often(firsts, self._frequent())))
-        singles = self._table("postings").where("single")
+        singles = self._table("postings").where(_has(SINGLE))
         self._promote(singles.where(here).select("token"), f"{step}-a")
         saved(self._verified(step).hint("rebalance"), "links", f"{self.path}/links/{step}")
         # tokens become frequent by adding up too; to count them all each time the index has grown by half is enough, as this changes no result
@@ -374,13 +394,12 @@ class RepeatIndex:
     def candidates(self, step: int) -> DataFrame:
         """(b, a): a record of the step and one accepted before, or before it in the step, that share enough tokens."""
         index, frequent = self._table("postings"), self._frequent()
-        marks = [f"m_{k}" for k in BASE]
-        own = index.where(f"step = {step} and fresh").select("token", "row", "bare", F.col("step").alias("at"), *marks)
+        own = index.where(f"step = {step} and {_has(FRESH)}").selectExpr("token", "row", "step as at", "marks")
         if frequent is not None:  # their threes are asked for instead
             own = own.join(frequent, "token", "left_anti")
-        other = index.selectExpr("token", "row as row2", "bare as bare2", "with_bare", "step", *[f"{m} as {m}2" for m in marks])
-        shared = " + ".join(f"coalesce(int({m} = {m}2), 0)" for m in marks)
-        met = own.join(other, "token").where(f"row2 <> row and (step < at or row2 < row) and (not with_bare or bare or bare2) and {shared} >= {OVERLAP}")
+        other = index.selectExpr("token", "row as row2", "step", "marks as marks2")
+        bare = f"not {_has(WITH_BARE, 'marks2')} or {_has(BARE)} or {_has(BARE, 'marks2')}"
+        met = own.join(other, "token").where(f"row2 <> row and (step < at or row2 < row) and ({bare}) and {_shared('marks', 'marks2')} >= {OVERLAP}")
         # in as many partitions as there are buckets, or the planner would shuffle the accepted parts too
         return met.selectExpr("row as b", "row2 as a").repartition(self.buckets, "b").distinct()
 
@@ -398,7 +417,8 @@ class RepeatIndex:
         old, frequent = {w: self._folder(w) for w in self.TABLES}, self._frequent()
         kept = {w: self._table(w).drop("step") for w in self.TABLES}
         if frequent is not None:
-            kept["postings"] = kept["postings"].join(frequent.withColumn("single", F.lit(True)), ["token", "single"], "left_anti")
+            rare = kept["postings"].where(_has(SINGLE)).join(frequent, "token", "left_anti")
+            kept["postings"] = rare.unionAll(kept["postings"].where(f"not ({_has(SINGLE)})"))
         names = [self._name(w) for w in self.TABLES]
         self.generation, self.buckets, steps = self.generation + 1, buckets or self.buckets, self.steps
         for what in self.TABLES:
