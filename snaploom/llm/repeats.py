@@ -378,6 +378,8 @@ class RepeatIndex:
         singles = self._table("postings").where(_has(SINGLE))
         self._promote(singles.where(here).select("token"), f"{step}-a")
         saved(self._verified(step).hint("rebalance"), "links", f"{self.path}/links/{step}")
+        for what in ("pairs", "ends"):
+            remove(self.spark, f"{self.path}/{what}/{step}")
         # tokens become frequent by adding up too; to count them all each time the index has grown by half is enough, as this changes no result
         size = self._size()
         if not step:
@@ -404,9 +406,12 @@ class RepeatIndex:
         return met.selectExpr("row as b", "row2 as a").repartition(self.buckets, "b").distinct()
 
     def _verified(self, step: int) -> DataFrame:
-        every = self._table("parts")
-        a, b = (rows.selectExpr(*[f"{c} as {x}_{c}" for c in COLUMNS]) for x, rows in (("a", every), ("b", every.where(f"step = {step}"))))
-        met = self.candidates(step).join(b, F.col("b") == F.col("b_row")).repartition(self.buckets, "a").join(a, F.col("a") == F.col("a_row"))
+        """(a, b) of the candidates that are repeats; saved on the way, so that the planner knows how few they are and leaves the parts where they lie."""
+        pairs = saved(self.candidates(step).hint("rebalance"), "pairs", f"{self.path}/pairs/{step}")
+        asked = pairs.selectExpr("inline(array(named_struct('row', a), named_struct('row', b)))").repartition(self.buckets, "row").distinct()
+        ends = saved(self._table("parts").join(asked, "row", "left_semi").select(*COLUMNS).hint("rebalance"), "ends", f"{self.path}/ends/{step}")
+        a, b = (ends.selectExpr(*[f"{c} as {x}_{c}" for c in COLUMNS]) for x in "ab")
+        met = pairs.join(b, F.col("b") == F.col("b_row")).join(a, F.col("a") == F.col("a_row"))
         return met.where(REPEATS).selectExpr("least(a, b) as a", "greatest(a, b) as b")
 
     def _links(self, step: int) -> DataFrame:
