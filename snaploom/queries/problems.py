@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaploom.operators import activities, copy_diff, strict_load
-from snaploom.storage import table
+from snaploom.sources import records
+from snaploom.storage import new_path, table
 
 # fixed values: the positions of BP_ISSUE_DT1 and NO_BUILDING_PERMITS in the 69 columns of a Table A2 file
 A2 = strict_load.RecordShape(fields=69, date_at=35, count_at=36)
@@ -30,7 +31,15 @@ def activity_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.groupBy("activity").agg(F.count("*").alias("n_rows"), F.count("day").alias("n_dated"), F.sum("total").alias("units"), F.sum("band_units").alias("band_units"), F.count_if(off).alias("n_mismatched"))
 
 
-QUERIES = {"activity_totals": activity_totals, "p1_found": p1_found, "p1_loaded": p1_loaded, "p5_found": p5_found}
+def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conforming records written to text files and read back, line breaks inside quotes and all, as often as each comes."""
+    folder = new_path(spark, "records")
+    good = strict_load.conforming(table(spark, sf_dir, "apr_lines"), A2)
+    good.select(F.substring("line", 2, 2**31 - 1).alias("value")).write.text(folder)
+    return records.records(spark, folder).groupBy(F.md5("raw_line").alias("digest")).agg(F.count("*").alias("n"))
+
+
+QUERIES = {"csv_records": csv_records, "activity_totals": activity_totals, "p1_found": p1_found, "p1_loaded": p1_loaded, "p5_found": p5_found}
 
 _FIELD = r',(?:"[^"]*(?:""[^"]*)*"|[^",][^,]*|)'
 _DAY = r"regexp_full_match({0}, '[0-9]{{1,2}}/[0-9]{{1,2}}/([0-9]{{4}}|[0-9]{{2}})') AND coalesce(try_strptime({0}, '%m/%d/%y'), try_strptime({0}, '%m/%d/%Y')) IS NOT NULL OR regexp_full_match({0}, '[0-9]{{4}}(-[0-9]{{1,2}}-|/[0-9]{{1,2}}/)[0-9]{{1,2}}') AND coalesce(try_strptime({0}, '%Y-%m-%d'), try_strptime({0}, '%Y/%m/%d')) IS NOT NULL"
@@ -53,6 +62,9 @@ WITH f AS (SELECT source_index, ',' || raw_line AS line, regexp_extract_all(','
 v AS (SELECT *, trim(raw_values[35]) AS d, replace(trim(raw_values[36]), ',', '') AS n FROM g)
 SELECT source_index, raw_values, CAST(coalesce(try_strptime(d, '%m/%d/%y'), try_strptime(d, '%m/%d/%Y'), try_strptime(d, '%Y-%m-%d'), try_strptime(d, '%Y/%m/%d')) AS DATE) AS permit_date, CAST(try_cast(n AS DOUBLE) AS BIGINT) AS reported_total FROM v
 WHERE (d = '' OR {_DAY.format("d")}) AND (n = '' OR coalesce(regexp_full_match(n, '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(n AS DOUBLE) = floor(try_cast(n AS DOUBLE)), false))""",
+    "csv_records": f"""
+WITH f AS (SELECT raw_line, ',' || raw_line AS line, regexp_extract_all(',' || raw_line, '{_FIELD}') AS x FROM apr_lines), v AS (SELECT raw_line, trim(trim(x[35][2:], '"')) AS d, replace(trim(trim(x[36][2:], '"')), ',', '') AS n FROM f WHERE len(x) = 69 AND array_to_string(x, '') = line)
+SELECT md5(raw_line) AS digest, count(*) AS n FROM v WHERE (d = '' OR {_DAY.format("d")}) AND (n = '' OR coalesce(regexp_full_match(n, '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(n AS DOUBLE) = floor(try_cast(n AS DOUBLE)), false)) GROUP BY 1""",
     "activity_totals": f"""
 WITH f AS (SELECT source_index, ',' || raw_line AS line, regexp_extract_all(',' || raw_line, '{_FIELD}') AS v FROM apr_lines), g AS (SELECT source_index, list_transform(v, lambda x: trim(trim(x[2:], '"'))) AS v FROM f WHERE len(v) = 69 AND array_to_string(v, '') = line),
 h AS (SELECT * FROM g WHERE (v[35] = '' OR {_DAY.format("v[35]")}) AND (v[36] = '' OR coalesce(regexp_full_match(replace(v[36], ',', ''), '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(replace(v[36], ',', '') AS DOUBLE) = floor(try_cast(replace(v[36], ',', '') AS DOUBLE)), false))),

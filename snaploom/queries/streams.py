@@ -23,9 +23,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events WHERE ts IS NOT NULL GROUP BY ALL""")
 def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.round(F.col("value") * 100).cast("bigint")
-    counts = _events(spark, sf_dir).where("ts is not null").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum(cents).alias("cents"))
+    counts = snapshots.window_counts(_events(spark, sf_dir).where("ts is not null"), "ts", ["event_type"], sums={"cents": cents})
     out = new_path(spark, "windows")
-    flat = counts.select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n", "cents")
+    flat = counts.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", "cents")
     snapshots.last_version(flat, out, new_path(spark, "progress")).awaitTermination()
     return spark.read.schema(flat.schema).parquet(out)
 

@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from snaploom.sources.records import records
 from snaploom.sources import external, files, workbook
 from snaploom.sources.contracts import Contract, ContractError, validated_csv
 
@@ -157,3 +158,75 @@ def test_streams(spark, tmp_path):
         q.awaitTermination(120)
     assert spark.table("once").select("key").distinct().count() == spark.table("once").count() == 8
     assert spark.table("counts").agg(F.max("n")).first()[0] >= 1
+
+
+def test_records_span_splits_of_a_file(spark, tmp_path):
+    want = ['a,"b', "x" * 50, '"', "", 'plain,"with ""doubled"" quotes, and\n\nlines"', "é,ü", 'c,"' + "\n".join(["line"] * 40) + '"', "last"]
+    want[0:3] = [want[0] + "\n" + want[1] + "\n" + want[2]]
+    (tmp_path / "one.csv").write_text("\n".join(want), encoding="utf-8")
+    (tmp_path / "two.csv").write_bytes("p,q\r\nr,\"s\r\nt\"\r\n".encode())
+    (tmp_path / "three.csv").write_text("")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    for size in ("20b", "77b", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        got = records(spark, str(tmp_path)).orderBy("file", "physical_line").collect()
+        assert [r.raw_line for r in got if r.file.endswith("one.csv")] == want
+        assert [(r.physical_line, r.raw_line) for r in got if r.file.endswith("two.csv")] == [(1, "p,q"), (2, 'r,"s\r\nt"')]
+        assert [r.physical_line for r in got if r.file.endswith("one.csv")] == [1, 4, 5, 8, 9, 49]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+
+
+def test_creates_are_acknowledged_and_never_sent_twice():
+    sent, waits = [], []
+
+    def post(rows):
+        sent.append(rows)
+        if len(sent) == 1:
+            raise external.RateLimited(7)
+        return {f"rec{r['key']}": dict(r) for r in rows}
+
+    writer = external.Writer(lambda ids: {}, lambda rows: None, batch=2, sleep=waits.append, post=post, allowed=frozenset({"key", "n"}))
+    assert writer.create([{"key": "a", "n": 1}, {"key": "b", "n": 2}, {"key": "c", "n": 3}], "key") == {"a": "reca", "b": "recb", "c": "recc"}
+    assert waits[0] == 7 and len(sent) == 3
+    for rows in ([{"key": "a"}, {"key": "a"}], [{"n": 1}], [{"key": "a", "other": 1}]):
+        with pytest.raises(external.ExternalError):
+            writer.create(rows, "key")
+
+    def lost(rows):
+        sent.append(rows)
+        raise OSError
+
+    n = len(sent)
+    with pytest.raises(external.AmbiguousWrite) as error:
+        external.Writer(None, None, post=lost).create([{"key": "a"}], "key")
+    assert error.value.names == ["a"] and len(sent) == n + 1
+    for answer in ({}, {"x": {"key": "b"}}, {"x": {"key": "a", "n": 2}}):
+        with pytest.raises(external.NotAcknowledged):
+            external.Writer(None, None, post=lambda rows, answer=answer: answer, sleep=waits.append).create([{"key": "a", "n": 1}], "key")
+    with pytest.raises(external.NotAcknowledged):
+        external.Writer(lambda ids: {"a": {"n": 1}}, lambda rows: {"a": {"n": 3}}, sleep=waits.append).apply([external.Update("a", {"n": 1}, {"n": 2})])
+    with pytest.raises(external.ExternalError):
+        external.Writer(lambda ids: {"b": {}}, None).read_one("a")
+
+
+def test_waiting_times_and_schemas():
+    assert [external.retry_after(t, 0) for t in (None, "", "3", "1.5", "soon", "Thu, 01 Jan 1970 00:01:00 GMT")] == [None, None, 3, 1.5, None, 60]
+    fields = [{"id": "f1", "name": "A", "type": "text"}, {"id": "f2", "name": "B", "type": "number"}]
+    assert set(external.checked_schema(fields, {"f2": "number"})) == {"f1", "f2"}
+    for bad, managed in ((fields, {"f3": "text"}), (fields, {"f1": "number"}), ([*fields, fields[0]], {})):
+        with pytest.raises(external.SchemaChanged):
+            external.checked_schema(bad, managed)
+
+
+def test_compliance_lines_tell_what_is_wrong(spark):
+    from snaploom.sources import compliance
+
+    lines = ["Jurisdiction,Cycle,Status,Updated", "", " ,,", '"Elk Grove",6th cycle,In,2024-05-01 10:00', "Élk Grove,7,Out,", "Fort, Old,6th,In,5/1/2024", "Y,8,Perhaps,soon"]
+    rows = compliance.compliance_rows(spark.createDataFrame([(x,) for x in lines], "line string"), "line", {"IN": "in", "OUT": "out"})
+    got = {(r.key, r.cycle, r.status, str(r.updated), tuple(r.problems)) for r in rows.collect()}
+    assert got == {("ELK GROVE", 6, "in", "2024-05-01", ("repeated name",)), ("ELK GROVE", 7, "out", "None", ("repeated name",)), ("FORT", None, None, "None", ("columns", "cycle", "status", "updated")), ("Y", None, None, "None", ("cycle", "status", "updated"))}
+    assert compliance.within(rows, 1, 5).count() == 4
+    with pytest.raises(Exception, match="unlikely number"):
+        compliance.within(rows, 5, 9).collect()
