@@ -31,6 +31,7 @@ MARK = re.compile(r"(?<![A-Z0-9])(UNIT|APARTMENT|APT|SUITE|STE|BUILDING|BLDG|LOT
 
 TOKENS = re.compile(r"[A-Z0-9]+")
 SIGNIFICANT = re.compile(r"[1-9]")
+WORDS = re.compile("UNIT|AP[AT]|SUITE|STE|B[UL][ID]|LOT|SP[AC]|RO?O?M")
 
 
 class Address(NamedTuple):
@@ -61,7 +62,7 @@ def parse(text: str | None, place: str | None = None) -> Address | None:
     if not SIGNIFICANT.search(up) and " ".join(TOKENS.findall(up)) in STAND_INS:
         return None
     unit = None
-    found = MARK.search(up)
+    found = MARK.search(up) if "#" in up or WORDS.search(up) else None
     if found:
         value = (found[2] or found[3]).lstrip("0") or "0"
         kind = UNITS[found[1] or "#"]

@@ -57,6 +57,9 @@ PARTS = "row bigint, place string, day date, number string, house string, unit s
 COLUMNS = [p.split()[0] for p in PARTS.split(", ")]
 # fixed values: words that aren't part of a number
 NOISE = re.compile(r"\b(?:PERMIT|PERMITS|NUMBER|NUM|NO)\b")
+NOISES = {"PERMIT", "PERMITS", "NUMBER", "NUM", "NO"}
+#: The usual forms, which need none of the steps that odd ones do: letters that don't end with an O, a year, a dash and a running number.
+USUAL = re.compile(r"((?:[A-Z]*[A-NP-Z])?)-?([0-9]{2}|(?:19|20)[0-9]{2})-([0-9]+)")
 ZEROS = re.compile(r"(?<=[0-9])O+|O+(?=[0-9])")
 DIGITS, LETTERS = re.compile(r"[0-9]+"), re.compile(r"[A-Z]+")
 # fixed values: entries for a place that name none
@@ -93,6 +96,11 @@ def number_key(text: str | None) -> str | None:
     """
     if not text:
         return None
+    usual = USUAL.fullmatch(text)
+    if usual and usual[1] not in NOISES:
+        letters, year, rest = usual.groups()
+        rest = rest.lstrip("0")
+        return f"{letters}|{year[-2:]}|{rest or '0'}" if rest or year.strip("0") else None
     up = addresses.plain(text)
     if "P" in up or "N" in up:
         up = NOISE.sub(" ", up)
@@ -372,13 +380,15 @@ class RepeatIndex:
         signs = [f"xxhash64({seed}, {', '.join(f'coalesce(string({c}), chr(0))' for c in COLUMNS[1:])}) as sign{seed}" for seed in (1, 2)]
         signed = parts.where(f"{LONG_ENOUGH} and ({REPEATS_ITSELF})").selectExpr("row", *signs)
         twice = signed.groupBy("sign1", "sign2").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        # saved, so that the planner knows how few they are before it shuffles the batch for them
+        twice = saved(twice.hint("rebalance"), "twice", f"{self.path}/twice/{step}")
         copies = saved(signed.join(twice, ["sign1", "sign2"]).where("row <> first").selectExpr("first as a", "row as b"), "copies", f"{self.path}/copies/{step}")
         firsts = parts.join(copies.select(F.col("b").alias("row")), "row", "left_anti")
         self._append("postings", postings(self._with_often(firsts, self._frequent())))
         singles = self._table("postings").where(_has(SINGLE))
         self._promote(singles.where(here).select("token"), f"{step}-a")
         saved(self._verified(step).hint("rebalance"), "links", f"{self.path}/links/{step}")
-        for what in ("pairs", "ends"):
+        for what in ("twice", "pairs", "ends"):
             remove(self.spark, f"{self.path}/{what}/{step}")
         # tokens become frequent by adding up too; to count them all each time the index has grown by half is enough, as this changes no result
         size = self._size()
