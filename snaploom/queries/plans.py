@@ -12,7 +12,8 @@ from snaploom.storage import table
 
 _NEWEST = "(SELECT record_id, {0} AS fields FROM {1} QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY synced_at DESC, CAST({0} AS VARCHAR) DESC) = 1)"
 _EXPECTED, _DESIRED = _NEWEST.format("expected_fields", "sync_expected"), _NEWEST.format("desired_fields", "sync_desired")
-_FIELDS = ("vli", "li", "mi", "ami", "permit_total", "project", "data_status")
+# all keys of the maps
+_FIELDS = ("vli", "li", "mi", "ami", "permit_total", "undated_permits", "rhna_start", "rhna_end", "last_updated", "jurisdiction", "project", "tracking", "data_status", "review_note")
 
 
 def _copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -53,12 +54,6 @@ def snapshot_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync.ordered_digest(table(spark, sf_dir, "jurisdictions"), "juris_key", ["juris_key", "juris_display", "county", "unincorporated", "period_start", "period_end", "cycle_started"])
 
 
-@query("SELECT source_index, sha256(concat_ws('|', source_index, coalesce(jurisdiction, ''), coalesce(tracking_raw, ''), coalesce(street_address, ''))) AS row_sha256 FROM permit_records")
-def row_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [F.col("source_index").cast("string"), *[F.coalesce(F.col(c), F.lit("")) for c in ("jurisdiction", "tracking_raw", "street_address")]]
-    return table(spark, sf_dir, "permit_records").select("source_index", F.sha2(F.concat_ws("|", *parts), 256).alias("row_sha256"))
-
-
 @query("""
 WITH pinned AS (SELECT * FROM (VALUES ('JURIS_NAME', 1), ('APN', 5), ('SCORE', 68), ('UNKNOWN_COLUMN', 70)) t(column_name, ordinal))
 SELECT column_name, CASE WHEN a.ordinal IS NULL THEN 'missing' ELSE 'moved' END AS problem FROM pinned p LEFT JOIN a2_columns a USING (column_name) WHERE a.ordinal IS DISTINCT FROM p.ordinal""")
@@ -78,10 +73,10 @@ def record_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH e AS (SELECT record_id, fields FROM {_EXPECTED}), d AS (SELECT record_id, fields FROM {_DESIRED})
-SELECT record_id, CASE WHEN e.fields IS NULL THEN 'blocked: no target' WHEN d.fields IS NULL THEN 'held: no source' WHEN e.fields['permit_total'] IS DISTINCT FROM d.fields['permit_total'] OR e.fields['data_status'] IS DISTINCT FROM d.fields['data_status'] THEN 'change' ELSE 'unchanged' END AS route FROM e FULL JOIN d USING (record_id)""")
+SELECT record_id, CASE WHEN e.fields IS NULL THEN 'blocked: no target' WHEN d.fields IS NULL THEN 'held: no source' WHEN {" OR ".join(f"e.fields['{f}'] IS DISTINCT FROM d.fields['{f}']" for f in _FIELDS)} THEN 'change' ELSE 'unchanged' END AS route FROM e FULL JOIN d USING (record_id)""")
 def change_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, d = _copies(spark, sf_dir)
-    return sync.routes(e, d, "record_id", ["permit_total", "data_status"])
+    return sync.routes(e, d, "record_id", _FIELDS)
 
 
 _ALL_CHANGES = f"""SELECT record_id, field_name, b[field_name] AS before, a[field_name] AS after FROM (SELECT record_id, e.fields AS b, d.fields AS a, unnest(list_distinct(list_concat(map_keys(e.fields), map_keys(d.fields)))) AS field_name FROM {_EXPECTED} e JOIN {_DESIRED} d USING (record_id)) WHERE b[field_name] IS DISTINCT FROM a[field_name]"""
@@ -89,7 +84,7 @@ _ALL_CHANGES = f"""SELECT record_id, field_name, b[field_name] AS before, a[fiel
 
 @query(_ALL_CHANGES)
 def keyed_diff_changes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over all keys of both sides; ``keyed_diff_changes`` compares seven of them, as its SQL does."""
+    """Over whichever keys either side has; ``keyed_diff_changes`` names them."""
     return sync.map_changes(*_copies(spark, sf_dir), "record_id")
 
 
