@@ -68,7 +68,7 @@ SELECT md5(raw_line) AS digest, count(*) AS n FROM v WHERE (d = '' OR {_DAY.form
     "activity_totals": f"""
 WITH f AS (SELECT source_index, ',' || raw_line AS line, regexp_extract_all(',' || raw_line, '{_FIELD}') AS v FROM apr_lines), g AS (SELECT source_index, list_transform(v, lambda x: trim(trim(x[2:], '"'))) AS v FROM f WHERE len(v) = 69 AND array_to_string(v, '') = line),
 h AS (SELECT * FROM g WHERE (v[35] = '' OR {_DAY.format("v[35]")}) AND (v[36] = '' OR coalesce(regexp_full_match(replace(v[36], ',', ''), '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(replace(v[36], ',', '') AS DOUBLE) = floor(try_cast(replace(v[36], ',', '') AS DOUBLE)), false))),
-a AS ({" UNION ALL ".join(f"SELECT '{a.name}' AS activity, v[{a.day}] <> '' AS dated, CASE WHEN v[{a.total}] = '' THEN 0 ELSE CAST(try_cast(replace(v[{a.total}], ',', '') AS DOUBLE) AS BIGINT) END AS total, {' + '.join(f'CAST(v[{i}] AS BIGINT)' for i in a.bands)} AS band_units FROM h" for a in activities.A2_ACTIVITIES)})
+a AS ({" UNION ALL ".join(f"SELECT '{a.name}' AS activity, v[{a.day}] <> '' AND ({_DAY.format(f"v[{a.day}]")}) AS dated, CASE WHEN v[{a.total}] = '' THEN 0 ELSE CAST(try_cast(replace(v[{a.total}], ',', '') AS DOUBLE) AS BIGINT) END AS total, {' + '.join(f"CASE WHEN v[{i}] = '' THEN 0 ELSE CAST(try_cast(replace(v[{i}], ',', '') AS DOUBLE) AS BIGINT) END" for i in a.bands)} AS band_units FROM h" for a in activities.A2_ACTIVITIES)})
 SELECT activity, count(*) AS n_rows, count(*) FILTER (dated) AS n_dated, CAST(sum(total) AS BIGINT) AS units, CAST(sum(band_units) AS BIGINT) AS band_units, count(*) FILTER (total <> band_units) AS n_mismatched FROM a GROUP BY 1""",
     "p5_found": f"""
 WITH e AS (SELECT record_id, key, {_VALUE} AS v FROM (SELECT record_id, key, regexp_replace(regexp_replace(value, '{_SPACE}', ' ', 'g'), '^ | $', '', 'g') AS v FROM ({_NEWEST.format("expected_fields", "expected")}))),

@@ -10,7 +10,7 @@ from snaploom.plans import series as S
 from snaploom.queries.problems import _DAY, _FIELD, p1_loaded
 from snaploom.queries.registry import query
 from snaploom.queries.scalars import _SPACE, _strip
-from snaploom.storage import table
+from snaploom.storage import saved, table
 
 FIRST, LAST = 2018, 2025
 
@@ -24,7 +24,7 @@ def _day(c: str) -> str:
 
 
 def _sum(at: tuple[int, ...]) -> str:
-    return " + ".join(f"CAST(v[{i}] AS BIGINT)" for i in at)
+    return " + ".join(f"CASE WHEN v[{i}] = '' THEN 0 ELSE CAST(try_cast(replace(v[{i}], ',', '') AS DOUBLE) AS BIGINT) END" for i in at)
 
 
 def _stage(a) -> str:
@@ -41,7 +41,7 @@ def _list(values) -> str:
 _LOADED = f"""
 f AS (SELECT source_index, ',' || raw_line AS line, regexp_extract_all(',' || raw_line, '{_FIELD}') AS x FROM apr_lines),
 g AS (SELECT source_index, list_transform(x, lambda y: trim(CASE WHEN starts_with(y, ',"') THEN replace(y[3:-2], '""', '"') ELSE y[2:] END)) AS v FROM f WHERE len(x) = 69 AND array_to_string(x, '') = line),
-h AS (SELECT source_index, v, {_key(f"v[{S.PLACE}]")} AS place, CAST(CASE WHEN v[{S.YEAR}] = '' THEN '0' ELSE v[{S.YEAR}] END AS INT) AS report_year, {_key(f"v[{S.UNIT_CATEGORY}]")} AS unit_category, CASE WHEN v[{S.BONUS}] = '' THEN 0 ELSE try_cast(replace(v[{S.BONUS}], ',', '') AS DOUBLE) END AS bonus,
+h AS (SELECT source_index, v, {_key(f"v[{S.PLACE}]")} AS place, CASE WHEN v[{S.YEAR}] = '' THEN 0 ELSE CAST(try_cast(v[{S.YEAR}] AS DOUBLE) AS INT) END AS report_year, {_key(f"v[{S.UNIT_CATEGORY}]")} AS unit_category, CASE WHEN v[{S.BONUS}] = '' THEN 0 ELSE try_cast(replace(v[{S.BONUS}], ',', '') AS DOUBLE) END AS bonus,
   list_sort(list_distinct(list_filter(list_transform(string_split(replace(v[{S.PROGRAM}], ';', ','), ','), lambda l: {_key("l")}), lambda l: l NOT IN ({_list(S.NO_PROGRAMS)})))) AS labels
   FROM g WHERE (v[35] = '' OR {_DAY.format("v[35]")}) AND (v[36] = '' OR coalesce(regexp_full_match(replace(v[36], ',', ''), '[0-9.]+([eE][+-]?[0-9]+)?') AND try_cast(replace(v[36], ',', '') AS DOUBLE) = floor(try_cast(replace(v[36], ',', '') AS DOUBLE)), false))),
 names AS (SELECT juris_key, {_key("juris_key")} AS name FROM jurisdictions UNION SELECT juris_key, {_key("juris_display")} FROM jurisdictions),
@@ -81,11 +81,14 @@ series AS (SELECT juris_key || '|' || year || '-Q' || quarter AS key, juris_key,
 @query(f"WITH {_SERIES} SELECT * FROM series")
 def series_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = table(spark, sf_dir, "jurisdictions")
-    filed = S.located(p1_loaded(spark, sf_dir).select(S.I.key(F.col("raw_values")[S.PLACE - 1]).alias("place"), S.count_or_zero(F.col("raw_values")[S.YEAR - 1]).cast("int").alias("report_year")), places).where("juris_key is not null")
+    # the lines are taken apart once, for the cells, the heaps and the rows filed
+    loaded = saved(p1_loaded(spark, sf_dir).select("source_index", "raw_values"), "loaded")
+    rows = saved(S.located(S.stage_rows(loaded), places), "stages")
+    filed = S.located(loaded.select(S.I.key(F.col("raw_values")[S.PLACE - 1]).alias("place"), S.count_or_zero(F.col("raw_values")[S.YEAR - 1]).cast("int").alias("report_year")), places).where("juris_key is not null")
     updated = table(spark, sf_dir, "permit_records").agg(F.to_date(F.max("received_at")).alias("last_updated"))
     # one row for each place beside the one day, so that the flags need no number from the driver
     dated = places.select("juris_key", F.lit(True).alias("one")).join(updated.withColumn("one", F.lit(True)), "one").select("juris_key", "last_updated")
-    wide = S.series(_rows(spark, sf_dir), filed, places, FIRST, LAST, F.lit(None).cast("date"))
+    wide = S.series(rows, filed, places, FIRST, LAST, F.lit(None).cast("date"))
     provisional = S.provisional(F.col("last_updated"), F.col("year"))
     flags = F.when(provisional, F.concat_ws(",", F.nullif(F.col("data_flags"), F.lit("")), F.lit("provisional_year"))).otherwise(F.col("data_flags"))
     return wide.join(dated, "juris_key").withColumn("data_flags", flags).drop("last_updated")
